@@ -15,7 +15,7 @@ def ts(s: str) -> dt.datetime:
 
 
 def d(x) -> Decimal:
-    return Decimal(str(x))
+    return None if x is None else Decimal(str(x))
 
 
 def make_tables(spark: SparkSession, rows: dict[str, list[dict]]):
