@@ -1,5 +1,7 @@
 """Date/time helpers with the warehouse dialect's semantics.
 
+Differences are BIGINT, as the dialect's DATEDIFF returns.
+
 All stored timestamps are UTC wall-clock values held as ``timestamp_ntz``.
 Nothing here reads the clock: "now" is always an explicit ``as_of``.
 """
@@ -45,17 +47,17 @@ def month_boundaries(start: ColumnOrName, end: ColumnOrName) -> Column:
     """DATEDIFF(MONTH, start, end): month boundaries crossed, not elapsed
     months (Dec 31 -> Jan 1 is 1)."""
     s, e = _c(start), _c(end)
-    return (F.year(e) * 12 + F.month(e)) - (F.year(s) * 12 + F.month(s))
+    return ((F.year(e) * 12 + F.month(e)) - (F.year(s) * 12 + F.month(s))).cast("bigint")
 
 
 def year_boundaries(start: ColumnOrName, end: ColumnOrName) -> Column:
     """DATEDIFF(YEAR, start, end): year boundaries crossed."""
-    return F.year(_c(end)) - F.year(_c(start))
+    return (F.year(_c(end)) - F.year(_c(start))).cast("bigint")
 
 
 def day_boundaries(start: ColumnOrName, end: ColumnOrName) -> Column:
     """DATEDIFF(DAY, start, end): midnights crossed (end - start)."""
-    return F.date_diff(F.to_date(_c(end)), F.to_date(_c(start)))
+    return F.date_diff(F.to_date(_c(end)), F.to_date(_c(start))).cast("bigint")
 
 
 def parse_month(month_name: ColumnOrName, year: ColumnOrName, day: int = 1) -> Column:

@@ -71,7 +71,7 @@ def number_rows(df: DataFrame, keys, order: Sequence[ColumnOrName], tie_break=()
                 name: str = "row_number", bucket: ColumnOrName | None = None,
                 descending: bool = False) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order ASC NULLS LAST, tie)``
-    (``descending``: DESC NULLS FIRST).
+    (``descending``: DESC NULLS FIRST), as BIGINT.
 
     With ``bucket`` (a column monotone in ``order``, e.g. the day of the
     order timestamp) rows are numbered inside (key, bucket) and shifted by the
@@ -82,7 +82,7 @@ def number_rows(df: DataFrame, keys, order: Sequence[ColumnOrName], tie_break=()
     full = as_list(order) + as_list(tie_break)
     specs = [col(o).desc_nulls_first() if descending else col(o).asc_nulls_last() for o in full]
     if bucket is None:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*specs)))
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*specs)).cast("bigint"))
     b = "_nr_bucket"
     d = df.withColumn(b, col(bucket))
     inner = d.withColumn("_nr_in", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*specs)))
@@ -94,4 +94,4 @@ def number_rows(df: DataFrame, keys, order: Sequence[ColumnOrName], tie_break=()
                             F.coalesce(F.sum("_nr_n").over(wb), F.lit(0)).alias("_nr_off"))
     cond = [F.col(k).eqNullSafe(F.col(f"_nr_r{i}")) for i, k in enumerate(keys + [b])]
     joined = inner.join(offsets, on=cond, how="left")
-    return joined.select(*df.columns, (F.col("_nr_in") + F.col("_nr_off")).cast("int").alias(name))
+    return joined.select(*df.columns, (F.col("_nr_in") + F.col("_nr_off")).cast("bigint").alias(name))
