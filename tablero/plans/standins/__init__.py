@@ -4,3 +4,4 @@ from tablero.plans.standins import aggs, basic, joins, scalars, windows  # noqa:
 from tablero.plans.standins.common import ORACLES, REGISTRY
 
 __all__ = ["ORACLES", "REGISTRY"]
+from tablero.plans.standins import reports  # noqa: E402,F401  (registers the report keys)
