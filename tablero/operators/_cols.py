@@ -35,3 +35,32 @@ def order_key(order: Sequence[ColumnOrName]) -> Column:
         fields.append(c.isNull().alias(f"n{i}"))
         fields.append(c.alias(f"v{i}"))
     return F.struct(*fields)
+
+
+def null_safe_keys(df, cols: Sequence[str], prefix: str):
+    """Non-null stand-ins for possibly-NULL key columns.
+
+    Each key becomes (value or a type default, is-NULL flag): grouping,
+    partitioning and plain equi-joins on these pairs treat NULL as one key,
+    as ``<=>`` does, but unlike ``<=>`` they let a join reuse the hash
+    partitioning of a window or aggregate on the same columns instead of
+    shuffling the large side again. Returns (frame, key column names).
+    """
+    from pyspark.sql import types as T
+    names = []
+    for i, c in enumerate(cols):
+        dt = df.schema[c].dataType
+        if isinstance(dt, (T.NumericType,)):
+            default = F.lit(0).cast(dt)
+        elif isinstance(dt, T.StringType):
+            default = F.lit("")
+        elif isinstance(dt, T.BooleanType):
+            default = F.lit(False)
+        elif isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            default = F.lit("1970-01-01").cast(dt)
+        else:
+            raise TypeError(f"unsupported key type {dt} for {c}")
+        v, n = f"{prefix}v{i}", f"{prefix}n{i}"
+        df = df.withColumn(v, F.coalesce(F.col(c), default)).withColumn(n, F.col(c).isNull())
+        names += [n, v]
+    return df, names

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablero.functions.time import month_boundaries, year_boundaries
-from tablero.operators._cols import ColumnOrName, as_list, col, order_key
+from tablero.operators._cols import ColumnOrName, as_list, col, null_safe_keys, order_key
 
 
 def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequence[str],
@@ -32,18 +32,18 @@ def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequ
         w = Window.partitionBy(*keys).orderBy(*specs)
         return df.select("*", *[F.lag(F.col(c), 1).over(w).alias(prefix + c) for c in cols])
 
-    b = "_wp_bucket"
-    d = df.withColumn(b, col(bucket))
-    w_in = Window.partitionBy(*keys, b).orderBy(*specs)
+    d = df.withColumn("_wp_bucket", col(bucket))
+    d, kcols = null_safe_keys(d, keys, "_wp_k")
+    d, bcols = null_safe_keys(d, ["_wp_bucket"], "_wp_b")
+    w_in = Window.partitionBy(*kcols, *bcols).orderBy(*specs)
     inner = d.select("*", F.lag(F.lit(1), 1).over(w_in).isNull().alias("_wp_first"),
                      *[F.lag(F.col(c), 1).over(w_in).alias("_wp_lag_" + c) for c in cols])
-    last = (d.groupBy(*keys, b)
+    last = (d.groupBy(*kcols, *bcols)
               .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_key(full_order)).alias("_wp_last")))
-    wb = Window.partitionBy(*keys).orderBy(F.col(b).asc_nulls_last())
-    prev_bucket = last.select(*[F.col(k).alias(f"_wp_r{i}") for i, k in enumerate(keys + [b])],
-                              F.lag("_wp_last", 1).over(wb).alias("_wp_prev"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_wp_r{i}")) for i, k in enumerate(keys + [b])]
-    joined = inner.join(prev_bucket, on=cond, how="left")
+    # bucket order: the NULL flag first (FALSE < TRUE puts a NULL bucket last), then the value
+    wb = Window.partitionBy(*kcols).orderBy(*[F.col(c).asc() for c in bcols])
+    prev_bucket = last.select(*kcols, *bcols, F.lag("_wp_last", 1).over(wb).alias("_wp_prev"))
+    joined = inner.join(prev_bucket, on=kcols + bcols, how="left")
     return joined.select(
         *df.columns,
         *[F.when(F.col("_wp_first"), F.col("_wp_prev").getField(c))

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablero.operators._cols import ColumnOrName, as_list, col, order_key
+from tablero.operators._cols import ColumnOrName, as_list, col, null_safe_keys, order_key
 
 
 def _payload(df: DataFrame, keys: list[str], columns) -> list[str]:
@@ -83,15 +83,14 @@ def number_rows(df: DataFrame, keys, order: Sequence[ColumnOrName], tie_break=()
     specs = [col(o).desc_nulls_first() if descending else col(o).asc_nulls_last() for o in full]
     if bucket is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*specs)).cast("bigint"))
-    b = "_nr_bucket"
-    d = df.withColumn(b, col(bucket))
-    inner = d.withColumn("_nr_in", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*specs)))
-    counts = d.groupBy(*keys, b).agg(F.count(F.lit(1)).alias("_nr_n"))
-    b_spec = F.col(b).desc_nulls_first() if descending else F.col(b).asc_nulls_last()
-    wb = (Window.partitionBy(*keys).orderBy(b_spec)
-          .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*[F.col(k).alias(f"_nr_r{i}") for i, k in enumerate(keys + [b])],
-                            F.coalesce(F.sum("_nr_n").over(wb), F.lit(0)).alias("_nr_off"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_nr_r{i}")) for i, k in enumerate(keys + [b])]
-    joined = inner.join(offsets, on=cond, how="left")
+    d = df.withColumn("_nr_bucket", col(bucket))
+    d, kcols = null_safe_keys(d, keys, "_nr_k")
+    d, bcols = null_safe_keys(d, ["_nr_bucket"], "_nr_b")
+    inner = d.withColumn("_nr_in", F.row_number().over(Window.partitionBy(*kcols, *bcols).orderBy(*specs)))
+    counts = d.groupBy(*kcols, *bcols).agg(F.count(F.lit(1)).alias("_nr_n"))
+    # bucket order: NULL flag then value, both reversed for DESC NULLS FIRST
+    b_specs = [F.col(c).desc() if descending else F.col(c).asc() for c in bcols]
+    wb = Window.partitionBy(*kcols).orderBy(*b_specs).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*kcols, *bcols, F.coalesce(F.sum("_nr_n").over(wb), F.lit(0)).alias("_nr_off"))
+    joined = inner.join(offsets, on=kcols + bcols, how="left")
     return joined.select(*df.columns, (F.col("_nr_in") + F.col("_nr_off")).cast("bigint").alias(name))
