@@ -7,11 +7,11 @@ from tablero.operators.history import (boundary_gap_months, entered, moved, reac
                                        transitions, with_previous)
 from tablero.operators.quality import clean_listings, duplicate_keys
 from tablero.operators.ranking import (any_one_per_key, first_and_last, first_per_key,
-                                       latest_per_key, number_rows)
+                                       latest_per_key, number_rows, transition_summary)
 
 __all__ = [
     "any_one_per_key", "boundary_gap_months", "clean_listings", "count_when", "duplicate_keys",
     "entered", "first_and_last", "first_per_key", "latest_per_key", "list_join", "lookup",
     "members", "moved", "number_rows", "population", "reactivations", "role_pivot",
-    "rollup_ancestors", "slot_join", "sum_by", "transitions", "with_previous",
+    "rollup_ancestors", "slot_join", "sum_by", "transition_summary", "transitions", "with_previous",
 ]

@@ -94,3 +94,33 @@ def number_rows(df: DataFrame, keys, order: Sequence[ColumnOrName], tie_break=()
     offsets = counts.select(*kcols, *bcols, F.coalesce(F.sum("_nr_n").over(wb), F.lit(0)).alias("_nr_off"))
     joined = inner.join(offsets, on=kcols + bcols, how="left")
     return joined.select(*df.columns, (F.col("_nr_in") + F.col("_nr_off")).cast("bigint").alias(name))
+
+
+def transition_summary(df: DataFrame, keys, order, specs, tie_break=(), extra=None) -> DataFrame:
+    """Several conditional first/latest picks per key from ONE aggregation.
+
+    ``specs`` maps a name to ``(condition, "first" | "last", columns)`` or
+    ``(condition, which, columns, order)`` to order that pick differently; the
+    output has ``<name>_<column>`` for each, taken from the first (or latest)
+    row of the key where the condition holds (NULL when none does). Rows
+    failing a condition get a NULL ordering for that pick, which
+    ``min_by``/``max_by`` skip. ``extra`` adds named aggregate columns to the
+    same aggregation. One shuffle serves every pick, instead of one filtered
+    window (and one scan of the log) per pick.
+    """
+    keys = as_list(keys)
+    aggs, outs = [], []
+    for name, spec in specs.items():
+        cond, which, columns = spec[:3]
+        pick_order = spec[3] if len(spec) > 3 else order
+        okey = order_key(as_list(pick_order) + as_list(tie_break))
+        columns = as_list(columns)
+        row = F.struct(*[F.col(c) for c in columns])
+        masked = F.when(cond, okey)
+        agg = F.min_by(row, masked) if which == "first" else F.max_by(row, masked)
+        aggs.append(agg.alias(f"_ts_{name}"))
+        outs += [F.col(f"_ts_{name}").getField(c).alias(f"{name}_{c}") for c in columns]
+    for name, agg in (extra or {}).items():
+        aggs.append(agg.alias(name))
+        outs.append(F.col(name))
+    return df.groupBy(*keys).agg(*aggs).select(*keys, *outs)

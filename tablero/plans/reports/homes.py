@@ -4,8 +4,10 @@ advisors, bookings, prices and features.
 Re-design of the source's fifteen CTEs for Spark:
 
 * One LAG over the status log (split by day, see ``with_previous``) feeds
-  every history branch: publications, pending approvals, take-downs.
-* First and last publication come from one aggregate (``first_and_last``).
+  every history pick: first/last publication, first/last pending approval
+  and the latest take-down all come from one aggregation
+  (``transition_summary``); only the reactivation rule needs a second pass
+  (a LAG over the publications).
 * The advisor slots are picked per owner and joined to the homes once.
 * The meeting counter's no-op join is not written (its date condition sits
   in the ON clause of a LEFT JOIN whose columns are unused).
@@ -26,8 +28,8 @@ from pyspark.sql import functions as F
 from tablero import DEFAULT_TZ
 from tablero.functions import (as_of_date, as_of_lit, day_boundaries, first_match, full_name, has_bit,
                                join_parts, month_start, not_in, parse_month, split_part, to_local, yes_no)
-from tablero.operators import (count_when, entered, first_and_last, first_per_key, latest_per_key, moved,
-                               role_pivot, with_previous)
+from tablero.operators import (count_when, entered, latest_per_key, moved, role_pivot, transition_summary,
+                               with_previous)
 from tablero.operators.history import boundary_gap_months
 from tablero.plans.reports._common import alias_cols, as_of_value, labelled
 
@@ -148,22 +150,25 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     homes = tables["mongo_homes"]
     history = status_history(tables, tz)
 
-    pubs = publications(history)
-    fl = first_and_last(pubs, "home_id", ["published_at"], tie_break=["id"],
-                        columns=["published_at", "changed_by_id"]).withColumnRenamed("home_id", "fl_home")
-    react = reactivations(pubs)
-    first_pending = first_per_key(history.filter(moved("status", "previous_status", ["in_progress"], [PENDING])),
-                                  "home_id", ["local_at"], tie_break=["id"], columns=["local_at"]) \
-        .select(F.col("home_id").alias("fp_home"), F.col("local_at").alias("fp_at"))
-    last_pending = latest_per_key(history.filter(moved("status", "previous_status", ["in_progress", "rented"],
-                                                       [PENDING])),
-                                  "home_id", ["local_at"], tie_break=["id"], columns=["local_at"]) \
-        .select(F.col("home_id").alias("lp_home"), F.col("local_at").alias("lp_at"))
-    down = latest_per_key(history.filter(entered("status", "previous_status", TAKEDOWN_STATES,
-                                                 first_row_counts=False)),
-                          "home_id", ["local_at"], tie_break=["id"], columns=["local_at", "reason"]) \
-        .select(F.col("home_id").alias("dn_home"), F.col("local_at").alias("taken_down_at"),
-                F.col("reason").alias("dn_reason"))
+    # Every pick from the log in one aggregation (one shuffle of the log).
+    pub = entered("status", "previous_status", [PUBLISHED])
+    picks = transition_summary(history, "home_id", ["local_at"], tie_break=["id"], specs={
+        "first_pub": (pub, "first", ["local_at", "changed_by_id"]),
+        "last_pub": (pub, "last", ["local_at", "changed_by_id"]),
+        "first_pending": (moved("status", "previous_status", ["in_progress"], [PENDING]), "first", ["local_at"]),
+        "last_pending": (moved("status", "previous_status", ["in_progress", "rented"], [PENDING]), "last",
+                         ["local_at"]),
+        "down": (entered("status", "previous_status", TAKEDOWN_STATES, first_row_counts=False), "last",
+                 ["local_at", "reason"]),
+    })
+    picks = picks.select(F.col("home_id").alias("fl_home"),
+                         F.col("first_pub_local_at").alias("first_published_at"),
+                         F.col("first_pub_changed_by_id").alias("first_changed_by_id"),
+                         F.col("last_pub_local_at").alias("last_published_at"),
+                         F.col("last_pub_changed_by_id").alias("last_changed_by_id"),
+                         F.col("first_pending_local_at").alias("fp_at"), F.col("last_pending_local_at").alias("lp_at"),
+                         F.col("down_local_at").alias("taken_down_at"), F.col("down_reason").alias("dn_reason"))
+    react = reactivations(publications(history))
 
     # Latest paid advance per home.
     months = tables["mongo_rental_months"]
@@ -248,7 +253,7 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
                                               "mobile_phone"])
 
     j = (homes.join(rented, homes._id == F.col("tr_home"), "left")
-              .join(fl, homes._id == F.col("fl_home"), "left")
+              .join(picks, homes._id == F.col("fl_home"), "left")
               .join(first_agent, F.col("first_changed_by_id") == F.col("fa__id"), "left")
               .join(last_agent, F.col("last_changed_by_id") == F.col("la__id"), "left")
               .join(owner_rows, homes.owner_id == F.col("ow__id"), "left")
@@ -261,13 +266,10 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
               .join(booked, (homes._id == F.col("bk_home")) & (F.col("booked_at") >= F.col("last_published_at")),
                     "left")
               .join(features, homes._id == F.col("hf_home"), "left")
-              .join(down, homes._id == F.col("dn_home"), "left")
               .join(advisors, homes.advisor_id == F.col("ad__id"), "left")
               .join(price, homes._id == F.col("pp_home"), "left")
               .join(advisor_users, F.col("au__id") == F.col("ad_user_id"), "left")
-              .join(locations, homes.id == F.col("loc_home"), "left")
-              .join(last_pending, F.col("lp_home") == homes._id, "left")
-              .join(first_pending, F.col("fp_home") == homes._id, "left"))
+              .join(locations, homes.id == F.col("loc_home"), "left"))
 
     st = homes._status
     is_rented = F.col("tr_home").isNotNull()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tablero.functions import as_of_lit, day_boundaries, first_match, split_part, to_local, yes_no
 from tablero.operators import (any_one_per_key, entered, first_and_last, first_per_key, latest_per_key,
-                               lookup, moved, reactivations, with_previous)
+                               lookup, moved, reactivations, transition_summary, with_previous)
 from tablero.operators.history import boundary_gap_months
 from tablero.plans.standins.common import (EVENTS_AS_OF, STATUS_LOG_SQL, loc, months, query, status_log,
                                            table, ts_lit)
@@ -74,14 +74,16 @@ SELECT c.c_custkey AS home_id, fp.local_at AS first_pending_at, lp.local_at AS l
 FROM customer c LEFT JOIN fp ON fp.home_id = c.c_custkey LEFT JOIN lp ON lp.home_id = c.c_custkey""")
 def transition_from_to(spark, sf):
     h = _history(spark, sf)
-    fp = first_per_key(h.filter(moved("status", "previous_status", ["in_progress"], ["pending_approval"])),
-                       "home_id", ["local_at"], tie_break=["log_id"], columns=["local_at"])
-    lp = latest_per_key(h.filter(moved("status", "previous_status", ["in_progress", "rented"],
-                                       ["pending_approval"])),
-                        "home_id", ["local_at"], tie_break=["log_id"], columns=["local_at"])
+    picks = transition_summary(h, "home_id", ["local_at"], tie_break=["log_id"], specs={
+        "first_pending": (moved("status", "previous_status", ["in_progress"], ["pending_approval"]), "first",
+                          ["local_at"]),
+        "last_pending": (moved("status", "previous_status", ["in_progress", "rented"], ["pending_approval"]),
+                         "last", ["local_at"]),
+    })
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("home_id"))
-    return (c.join(fp.withColumnRenamed("local_at", "first_pending_at"), "home_id", "left")
-             .join(lp.withColumnRenamed("local_at", "last_pending_at"), "home_id", "left"))
+    return (c.join(picks, "home_id", "left")
+             .select("home_id", F.col("first_pending_local_at").alias("first_pending_at"),
+                     F.col("last_pending_local_at").alias("last_pending_at")))
 
 
 @query("first_last_transition", f"""
@@ -259,16 +261,20 @@ LEFT JOIN pub p ON p.home_id = c.c_custkey
 LEFT JOIN down d ON d.home_id = c.c_custkey""")
 def home_history(spark, sf):
     h = _history(spark, sf)
-    pubs = h.filter(entered("status", "previous_status", ["published"]))
-    pub = pubs.groupBy("home_id").agg(F.min("local_at").alias("first_published_at"),
-                                      F.max("local_at").alias("last_published_at"),
-                                      F.count(F.lit(1)).alias("publications"))
-    state = latest_per_key(h, "home_id", ["created_at"], tie_break=["log_id"], columns=["status"])
-    down = latest_per_key(h.filter(entered("status", "previous_status", TAKEDOWN_STATES, first_row_counts=False)),
-                          "home_id", ["local_at"], tie_break=["log_id"], columns=["local_at"])
+    pub = entered("status", "previous_status", ["published"])
+    # publications counted and every pick taken in one aggregation over the log
+    picks = transition_summary(h, "home_id", ["created_at"], tie_break=["log_id"], specs={
+        "state": (F.lit(True), "last", ["status"]),
+        "down": (entered("status", "previous_status", TAKEDOWN_STATES, first_row_counts=False), "last",
+                 ["local_at"], ["local_at"]),
+    }, extra={"first_published_at": F.min(F.when(pub, F.col("local_at"))),
+              "last_published_at": F.max(F.when(pub, F.col("local_at"))),
+              "n_pub": F.count(F.when(pub, F.lit(1)))})
+    picks = picks.select("home_id", F.col("state_status").alias("status"),
+                         F.col("down_local_at").alias("taken_down_at"), "first_published_at", "last_published_at",
+                         F.when(F.col("n_pub") > 0, F.col("n_pub")).alias("publications"))
     homes = table(spark, sf, "customer").select(F.col("c_custkey").alias("home_id"))
-    j = (homes.join(state, "home_id", "left").join(pub, "home_id", "left")
-              .join(down.withColumnRenamed("local_at", "taken_down_at"), "home_id", "left"))
+    j = homes.join(picks, "home_id", "left")
     st = F.col("status")
     label = first_match((st == "rented", F.lit("Rentado")), (st == "in_progress", F.lit("En progreso")),
                         (st == "published", F.lit("Publicado")), (st == "canceled", F.lit("Baja temporal")),
