@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablero.functions.time import month_boundaries, year_boundaries
-from tablero.operators._cols import ColumnOrName, as_list, col, null_safe_keys, order_key
+from tablero.operators._cols import ColumnOrName, as_list, col, null_safe_keys
 
 
 def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequence[str],
@@ -36,17 +36,20 @@ def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequ
     d, kcols = null_safe_keys(d, keys, "_wp_k")
     d, bcols = null_safe_keys(d, ["_wp_bucket"], "_wp_b")
     w_in = Window.partitionBy(*kcols, *bcols).orderBy(*specs)
-    inner = d.select("*", F.lag(F.lit(1), 1).over(w_in).isNull().alias("_wp_first"),
+    inner = d.select("*", F.row_number().over(w_in).alias("_wp_rn"),
                      *[F.lag(F.col(c), 1).over(w_in).alias("_wp_lag_" + c) for c in cols])
-    last = (d.groupBy(*kcols, *bcols)
-              .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_key(full_order)).alias("_wp_last")))
+    # The bucket's last row is picked by the window's row number, so the pick
+    # reads the windowed frame: it is already partitioned on (key, bucket), so
+    # no second shuffle, and its input exchange is shared with the main branch.
+    last = (inner.groupBy(*kcols, *bcols)
+                 .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("_wp_rn")).alias("_wp_last")))
     # bucket order: the NULL flag first (FALSE < TRUE puts a NULL bucket last), then the value
     wb = Window.partitionBy(*kcols).orderBy(*[F.col(c).asc() for c in bcols])
     prev_bucket = last.select(*kcols, *bcols, F.lag("_wp_last", 1).over(wb).alias("_wp_prev"))
     joined = inner.join(prev_bucket, on=kcols + bcols, how="left")
     return joined.select(
         *df.columns,
-        *[F.when(F.col("_wp_first"), F.col("_wp_prev").getField(c))
+        *[F.when(F.col("_wp_rn") == 1, F.col("_wp_prev").getField(c))
            .otherwise(F.col("_wp_lag_" + c)).alias(prefix + c) for c in cols])
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablero import DEFAULT_TZ
 from tablero.functions import (as_of_date, flag_int, full_name, join_parts, label_map, not_in, to_local,
                                year_boundaries)
-from tablero.operators import first_per_key, latest_per_key, role_pivot
+from tablero.operators import latest_per_key, role_pivot
 from tablero.plans.reports._common import alias_cols, as_of_value, sort_then_label
 
 # Output labels, in report order.
