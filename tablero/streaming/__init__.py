@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reports are batch reports over warehouse tables: none has a watermark,
+event-time window, stateful operator or late-data rule. Nothing streaming is
+built here; a caller that wants periodic refreshes runs a report on a
+schedule over the current tables (every report is a pure function of its
+input tables and ``as_of``).
+"""
