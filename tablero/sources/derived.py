@@ -104,7 +104,7 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         ("part", None, {"mongo_homes_id": "'h' || p_partkey", "value": "p_retailprice / 100"}),
         ("part", None, {"mongo_homes_id": "'h' || p_partkey", "value": "0 - CAST(p_size AS DOUBLE)"}),
     ],
-    "mongo_homes_recommended_price": [("part", "p_size > 3", {
+    "mongo_homes_recommended_price": [("part", "p_retailprice > 905", {
         "mongo_homes_id": "'h' || p_partkey", "recommended_price": "CAST(p_retailprice AS DECIMAL(18,2)) + 100",
     })],
     "mongo_home_logs": [("events", None, {
@@ -186,13 +186,13 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "extra_fee": "CASE WHEN l_tax = 0 THEN NULL ELSE CAST(l_tax * 100 AS DECIMAL(18,2)) END",
         "paid_at": f"{SHIP_AT} + INTERVAL 1 DAY",
     })],
-    "mongo_rental_month_dispersions": [("lineitem", "l_linenumber <= 3", {
+    "mongo_rental_month_dispersions": [("lineitem", "l_tax <= 0.05", {
         "rental_month_id": f"'M' || {MONTH_KEY}", "email": "'d' || l_suppkey || '@mail.test'",
         "_status": "CASE WHEN l_linestatus = 'F' THEN 'done' ELSE 'waiting' END",
         "_applies_to": "CASE l_returnflag WHEN 'R' THEN 'owner' WHEN 'A' THEN 'advisor' ELSE 'homie' END",
         "amount": "CAST(l_quantity AS DECIMAL(18,2)) * 3",
     })],
-    "mongo_payment_reference_requests": [("lineitem", "l_linenumber <= 4", {
+    "mongo_payment_reference_requests": [("lineitem", "l_discount <= 0.07", {
         "id": f"'P' || {MONTH_KEY}", "rental_month_id": f"'M' || {MONTH_KEY}",
         "store_name": "CASE WHEN l_discount > 0.05 THEN 'OXXO' ELSE 'SPEI' END",
         "reference_description": "'REF' || l_orderkey", "_provider": "'srpago'",
@@ -200,18 +200,18 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "applied_to_rental_month": "CASE WHEN l_linestatus = 'F' THEN TRUE WHEN l_returnflag = 'A' THEN NULL "
                                    "ELSE FALSE END",
     })],
-    "mongo_payment_reference_requests_dispersion_data": [("lineitem", "l_linenumber <= 4", {
+    "mongo_payment_reference_requests_dispersion_data": [("lineitem", "l_discount <= 0.07", {
         "id": f"'D' || {MONTH_KEY}", "mongo_payment_reference_requests_id": f"'P' || {MONTH_KEY}",
     })],
-    "mongo_payment_reference_requests_dispersion_data_owner": [("lineitem", "l_linenumber <= 4", {
+    "mongo_payment_reference_requests_dispersion_data_owner": [("lineitem", "l_discount <= 0.07", {
         "mongo_payment_reference_requests_dispersion_data_id": f"'D' || {MONTH_KEY}",
         "amount_in_sr_pago": "CAST(l_extendedprice AS DECIMAL(18,2))",
     })],
     "mongo_payment_reference_requests_dispersion_data_advisor": [
-        ("lineitem", "l_linenumber <= 4", {
+        ("lineitem", "l_discount <= 0.07", {
             "mongo_payment_reference_requests_dispersion_data_id": f"'D' || {MONTH_KEY}",
             "amount_in_sr_pago": "CAST(l_quantity AS DECIMAL(18,2))"}),
-        ("lineitem", "l_linenumber <= 2", {
+        ("lineitem", "l_tax <= 0.03", {
             "mongo_payment_reference_requests_dispersion_data_id": f"'D' || {MONTH_KEY}",
             "amount_in_sr_pago": "CAST(l_tax * 100 AS DECIMAL(18,2))"}),
     ],
@@ -219,7 +219,7 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "mongo_payment_reference_requests_dispersion_data_id": f"'D' || {MONTH_KEY}",
         "amount_in_sr_pago": "CAST(l_discount * 100 AS DECIMAL(18,2))",
     })],
-    "mongo_payment_reference_requests_dispersion_data_sr_pago": [("lineitem", "l_linenumber <= 4", {
+    "mongo_payment_reference_requests_dispersion_data_sr_pago": [("lineitem", "l_discount <= 0.07", {
         "mongo_payment_reference_requests_dispersion_data_id": f"'D' || {MONTH_KEY}",
         "amount": "CAST(l_quantity AS DECIMAL(18,2)) + 1",
     })],
