@@ -32,10 +32,13 @@ def to_local(ts: ColumnOrName, tz: str = DEFAULT_TZ) -> Column:
 
 
 def as_of_lit(as_of: dt.datetime | str) -> Column:
-    """The report's "now" as a timestamp_ntz literal (UTC)."""
+    """The report's "now" as a timestamp_ntz literal (UTC wall clock).
+
+    Built from text: a Python datetime literal would pass through the driver
+    process's local zone, and the result would then depend on it."""
     if isinstance(as_of, str):
         as_of = dt.datetime.fromisoformat(as_of)
-    return F.lit(as_of).cast("timestamp_ntz")
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def as_of_date(as_of: dt.datetime | str) -> Column:
