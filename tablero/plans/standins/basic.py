@@ -318,8 +318,10 @@ def sort_desc_nulls(spark, sf):
     o = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("rent_id"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("created_at"))
+    # numbered inside day buckets (monotone in the sort order), offset by the
+    # sizes of earlier days: no task ever sorts more than a day of rows
     ranked = number_rows(o, [], ["created_at"], tie_break=["rent_id"], name="sort_rank",
-                         bucket=F.year("created_at"), descending=True)
+                         bucket=F.to_date("created_at"), descending=True)
     return ranked.orderBy(F.col("created_at").desc_nulls_first(), F.col("rent_id").desc())
 
 
@@ -334,7 +336,7 @@ def sort_expression(spark, sf):
     j = (s.join(first, s.s_suppkey == first.l_suppkey, "left")
           .select(F.col("s_suppkey").alias("supplier_id"), to_local("first_ship").alias("registered_local")))
     ranked = number_rows(j, [], ["registered_local"], tie_break=["supplier_id"], name="sort_rank",
-                         bucket=F.year("registered_local"), descending=True)
+                         bucket=F.to_date("registered_local"), descending=True)
     return ranked.orderBy(F.col("registered_local").desc_nulls_first(), F.col("supplier_id").desc())
 
 
@@ -358,5 +360,8 @@ def sort_multi_case(spark, sf):
                  F.col("o_orderstatus").alias("status"), bucket_txt.alias("fee_bucket"),
                  F.col("o_totalprice").alias("price"))
     keys = ["y", "m", "status", "fee_bucket", "price"]
-    ranked = number_rows(d, [], keys, tie_break=["rent_id"], name="sort_rank", bucket=F.col("y"))
+    # bucket = the first three sort keys as one string: it sorts like them
+    # (4-digit year; no month name is a prefix of another; 1-letter status)
+    bucket = F.concat("y", F.lit("|"), "m", F.lit("|"), "status")
+    ranked = number_rows(d, [], keys, tie_break=["rent_id"], name="sort_rank", bucket=bucket)
     return ranked.orderBy(*keys, "rent_id")
