@@ -247,3 +247,120 @@ def test_reports_keep_one_row_per_driving_row_without_fanout(spark, name):
                             "mongo_rental_months": [dict(_id="M1", rent_id="R1", _status="paid")],
                             "mongo_home_applications": [dict(_id="A1", id="a1", home_id="H1", _step="x")]})
     assert report(name, t, AS_OF).count() == 1
+
+
+def test_payments_rows_and_deposit_instalments(spark):
+    start = ts("2021-01-01 12:00:00")
+    rent = dict(_id="R1", user_id="U1", home_id="H1", product="p", rent_price=d(1000), risk_guarantee=d(50),
+                is_no_deposit=None, deposit_months_warranty=2, allow_monthly_owner_deposit_payment=True,
+                start_date=start, months_to_pay_deposit=3, deposit_amount=d("100.01"))
+
+    def month(mid, due, status="paid", charge="rent_pay", name="march"):
+        return dict(_id=mid, rent_id="R1", month=name, year="2021", _status=status, _charge_type=charge,
+                    due_date=ts(due), homie_fee=d("0.05"), remaining_amount=d(0), amount=d(10))
+    t = make_tables(spark, {
+        "mongo_rents": [rent],
+        "mongo_users": [dict(_id="U1", name="ana", last_name=None, second_last_name="ruiz", email="a@x")],
+        "mongo_rental_months": [month("M1", "2021-03-05 00:00:00"), month("M2", "2021-04-05 00:00:00", "refunded",
+                                                                          "first_payment", "abril"),
+                                month("M3", "2021-05-05 00:00:00", "pending"),
+                                month("M4", "2021-04-30 00:00:00", name="foo")],
+        "mongo_rental_payments": [dict(rental_month_id="M1", _status="applied", amount=d(10), extra_fee=d(1),
+                                       paid_at=ts("2021-03-01 05:00:00")),
+                                  dict(rental_month_id="M1", _status="applied", amount=d(20), extra_fee=None,
+                                       paid_at=ts("2021-03-02 05:00:00")),
+                                  dict(rental_month_id="M2", _status="refunded", amount=d(5), extra_fee=d(1))],
+        "mongo_interest_historics": [dict(rental_month_id="M1", interests=d(-3)),
+                                     dict(rental_month_id="M1", interests=d(5))],
+    })
+    out = rows(report("payments", t, AS_OF))
+    assert sorted(r["Id Renta Mensual"] for r in out) == ["M1", "M1", "M2", "M4"]   # pending month excluded
+    m1 = sorted((r for r in out if r["Id Renta Mensual"] == "M1"), key=lambda r: r["Fecha de Pago"], reverse=True)
+    assert [r["Pago Recibido"] for r in m1] == [None, Decimal("11.00")]            # NULL fee -> NULL received
+    assert m1[0]["Fecha de Pago"] == dt.datetime(2021, 3, 1, 23)
+    assert (m1[0]["Mes/Año Pagado"], m1[0]["Tipo de Cargo"], m1[0]["Intereses generados"]) == \
+        ("marzo/2021", "Renta Mensual", Decimal("2.00"))
+    # two month boundaries since the start, fewer than three instalments: deferred
+    assert (m1[0]["Es deposito Diferido"], m1[0]["Deposito en Garantia"]) == (True, Decimal("33.34"))
+    m2 = next(r for r in out if r["Id Renta Mensual"] == "M2")
+    assert (m2["Status Renta Mensual"], m2["Es No deposito"], m2["Meses en Deposito en Garantia"]) == \
+        ("Reembolso", False, 2)
+    assert (m2["Pago Recibido"], m2["Tipo de Tarjeta"], m2["Intereses generados"]) == \
+        (None, "No disponible", Decimal("0"))   # its only payment is not applied
+    assert m2["Mes/Año Pagado"] == "abril/2021"   # not an English name: passed through
+    m4 = next(r for r in out if r["Id Renta Mensual"] == "M4")
+    assert (m4["Mes/Año Pagado"], m4["Es deposito Diferido"], m4["Deposito en Garantia"]) == ("foo/2021", False, None)
+    assert m4["Nombre del Inquilino"] == "Ana   Ruiz"
+
+
+def test_rents_risk_address_and_elapsed_months(spark):
+    t = make_tables(spark, {
+        "mongo_rents": [dict(_id="R1", home_id="H1", user_id="U1", home_application_id="A1", _status="started",
+                             is_no_deposit=True, guarantee_deposit_scheme_id="G1", deposit_months_warranty=2,
+                             created_at=ts("2023-01-01 00:00:00")),
+                        dict(_id="R2", home_id="H2", _status="canceled", is_no_deposit=True,
+                             deposit_months_warranty=2, canceled_at=ts("2023-03-31 23:00:00"),
+                             created_at=ts("2023-02-01 00:00:00")),
+                        dict(_id="R3", home_id="H1", parent_rent_id="R1", _status="finished", is_no_deposit=False,
+                             deposit_months_warranty=2, rent_third_party_company_fee_id="CF1",
+                             created_at=ts("2023-03-01 00:00:00"))],
+        "mongo_rent_contracts": [dict(rent_id="R1", signed_at=ts("2023-01-02 00:00:00"),
+                                      started_at=ts("2022-12-31 00:00:00")),
+                                 dict(rent_id="R2", started_at=ts("2023-01-15 00:00:00")),
+                                 dict(rent_id="R3", started_at=ts("2023-01-01 00:00:00"),
+                                      ends_at=ts("2023-12-31 00:00:00"))],
+        "mongo_guarantee_deposit_schemes": [dict(_id="G1", name="B", days=45)],
+        "mongo_home_applications": [dict(_id="A1")],
+        "mongo_reports": [dict(home_application_id="A1", risk_deposit_percentage_no_deposit=d("0.1"),
+                               created_at=ts("2023-01-01 00:00:00")),
+                          dict(home_application_id="A1", risk_deposit_percentage_no_deposit=d("0.2"),
+                               created_at=ts("2023-01-05 00:00:00"))],
+        "mongo_homes": [dict(_id="H1", street="Av 1", number="10", apartment_floor=None, apartment_number="4",
+                             city="CDMX"),
+                        dict(_id="H2", address_from_location="Calle 2, CDMX")],
+        "mongo_rent_third_party_company_fees": [dict(_id="CF1", fee_third_party_company_id="BP1",
+                                                     company_first_fee=d("0.25"))],
+        "mongo_agency_business_partners": [dict(_id="BP1", name="Socio")],
+    })
+    out = {r["Id de Renta"]: r for r in rows(report("rents", t, AS_OF))}
+    r1, r2, r3 = out["R1"], out["R2"], out["R3"]
+    assert r1["Riesgo Homie"] == Decimal("0.2000")                       # latest report wins
+    assert r2["Riesgo Homie"] == Decimal("0.3333")                       # no report, no-deposit rent
+    assert (r1["Dias De Deposito en Garantia"], r3["Dias De Deposito en Garantia"]) == (45, 60)
+    assert r1["Direccion"] == "Av 1 10   Depa 4   CDMX    "
+    assert r2["Direccion"] == "Calle 2, CDMX"
+    assert (r1["Meses Transcurridos"], r2["Meses Transcurridos"], r3["Meses Transcurridos"]) == (7, 2, 11)
+    assert (r1["Renovo"], r1["Es Renovacion"], r3["Es Renovacion"]) == (True, None, True)
+    assert (r3["Asesor/Agencia"], r3["Comision Primer Mes Asesor/Agencia"]) == ("Socio", Decimal("0.2500"))
+    assert r1["Asesor/Agencia"] == "No"
+    assert [r["Id de Renta"] for r in rows(report("rents", t, AS_OF))] == ["R3", "R2", "R1"]
+
+
+def test_applications_filters_gender_and_latest_promo(spark):
+    t = make_tables(spark, {
+        "mongo_home_applications": [
+            dict(id="a1", _id="A1", home_id="H1", user_id="U1", agency_id="AG", _step="documents",
+                 _status="approved", created_at=ts("2023-01-01 00:00:00")),
+            dict(id="a2", _id="A2", home_id="H1", user_id="U2", _step="resume", _status="approved"),
+            dict(id="a3", _id="A3", home_id="H1", user_id="U2", _step=None, _status="approved"),
+            dict(id="a4", _id="A4", home_id="H2", user_id="U2", _step="complete", _status="rejected")],
+        "mongo_users": [dict(_id="U1", _gender="female", date_of_birth=ts("1990-12-31 23:00:00")),
+                        dict(_id="U2", _gender=None)],
+        "mongo_promotion_codes": [dict(_id="P1", agency_id="AG", code="OLD", created_at=ts("2022-01-01 00:00:00")),
+                                  dict(_id="P2", agency_id="AG", code="NEW", created_at=ts("2022-06-01 00:00:00"))],
+        "mongo_home_application_logs": [dict(home_application_id="A1", step="documents",
+                                             created_at=ts("2023-01-02 00:00:00")),
+                                        dict(home_application_id="A1", step="documents",
+                                             created_at=ts("2023-01-03 00:00:00"))],
+        "mongo_payments": [dict(paymentable_id="A1", paid_at=ts("2023-01-04 00:00:00"))],
+        "mongo_reports": [dict(home_application_id="A1", homie_score=700),
+                          dict(home_application_id="A4", homie_score=500)],
+    })
+    out = {r["Id de Aplicacion"]: r for r in rows(report("applications", t, AS_OF))}
+    assert sorted(out) == ["A1", "A4"]              # excluded steps and NULL step dropped
+    a1, a4 = out["A1"], out["A4"]
+    assert (a1["Genero"], a4["Genero"], a1["Edad"]) == ("Mujer", "Sin Registro", 33)
+    assert (a1["Promocode"], a4["Promocode"]) == ("NEW", None)
+    assert a1["Fecha Entrega de Documentos"] == dt.datetime(2023, 1, 2, 18)
+    assert (a1["Aplicaciones Pagadas"], a1["Homie Score"], a4["Homie Score"]) == (1, 700, None)
+    assert (a1["Aplicaciones Aprobadas"], a4["Aplicaciones Aprobadas"], a4["Roomies"]) == (1, 0, 0)
