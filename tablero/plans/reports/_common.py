@@ -34,3 +34,11 @@ def as_of_value(as_of: dt.datetime | str | None) -> dt.datetime:
     if as_of is None:
         raise ValueError("as_of is required: reports never read the clock")
     return dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+
+
+def time_bucket(ts: str, unit: str = "day"):
+    """Bucket column for the split windows (``with_previous``/``number_rows``):
+    the ``unit`` (hour, day, month) a timestamp falls in; monotone in time."""
+    if unit == "day":
+        return F.to_date(ts)
+    return F.date_trunc(unit, F.col(ts))

@@ -31,7 +31,7 @@ from tablero.functions import (as_of_date, as_of_lit, day_boundaries, first_matc
 from tablero.operators import (count_when, entered, latest_per_key, moved, role_pivot, transition_summary,
                                with_previous)
 from tablero.operators.history import boundary_gap_months
-from tablero.plans.reports._common import alias_cols, as_of_value, labelled
+from tablero.plans.reports._common import alias_cols, as_of_value, labelled, time_bucket
 
 # Output labels, in report order (spelling as published).
 LABELS = [
@@ -121,11 +121,12 @@ PETS_BIT = 0
 VIDEO_PREFIX = "https://"
 
 
-def status_history(tables: Mapping[str, DataFrame], tz: str) -> DataFrame:
+def status_history(tables: Mapping[str, DataFrame], tz: str, bucket_unit: str = "day") -> DataFrame:
     """The log with previous status (LAG ordered by the stored UTC time, log
     id breaking ties) and the local time."""
     log = tables["mongo_home_logs"].select("home_id", "id", "created_at", "status", "changed_by_id", "reason")
-    h = with_previous(log, "home_id", ["created_at"], ["status"], tie_break=["id"], bucket=F.to_date("created_at"))
+    h = with_previous(log, "home_id", ["created_at"], ["status"], tie_break=["id"],
+                      bucket=time_bucket("created_at", bucket_unit))
     return h.withColumn("local_at", to_local("created_at", tz))
 
 
@@ -134,21 +135,23 @@ def publications(history: DataFrame) -> DataFrame:
                    .select("home_id", "id", F.col("local_at").alias("published_at"), "changed_by_id"))
 
 
-def reactivations(pubs: DataFrame) -> DataFrame:
+def reactivations(pubs: DataFrame, bucket_unit: str = "day") -> DataFrame:
     """Publications at least two (boundary-counted) months after the previous
     publication of the home."""
     p = with_previous(pubs.select("home_id", "id", "published_at"), "home_id", ["published_at"], ["published_at"],
-                      tie_break=["id"], bucket=F.to_date("published_at"))
+                      tie_break=["id"], bucket=time_bucket("published_at", bucket_unit))
     return (p.filter(boundary_gap_months("previous_published_at", "published_at") >= REACTIVATION_MIN_GAP)
              .select(F.col("home_id").alias("re_home"), F.col("published_at").alias("reactivated_at")))
 
 
 def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True,
-          fix_double_tz: bool = False) -> DataFrame:
+          fix_double_tz: bool = False, bucket_unit: str = "day") -> DataFrame:
+    """``bucket_unit``: time unit the log windows are split by (see
+    ``with_previous``); finer for entities with very many changes a day."""
     now = as_of_value(as_of)
     now_ts, today = as_of_lit(now), as_of_date(now)
     homes = tables["mongo_homes"]
-    history = status_history(tables, tz)
+    history = status_history(tables, tz, bucket_unit)
 
     # Every pick from the log in one aggregation (one shuffle of the log).
     pub = entered("status", "previous_status", [PUBLISHED])
@@ -168,7 +171,7 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
                          F.col("last_pub_changed_by_id").alias("last_changed_by_id"),
                          F.col("first_pending_local_at").alias("fp_at"), F.col("last_pending_local_at").alias("lp_at"),
                          F.col("down_local_at").alias("taken_down_at"), F.col("down_reason").alias("dn_reason"))
-    react = reactivations(publications(history))
+    react = reactivations(publications(history), bucket_unit)
 
     # Latest paid advance per home.
     months = tables["mongo_rental_months"]
@@ -192,7 +195,7 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     priced = priced.join(homes.select(F.col("_id").alias("ph_home")), F.col("ph_home") == F.col("home_id"),
                          "left_semi")
     priced = with_previous(priced, "home_id", ["updated_at"], ["value"], tie_break=["log_id", "value"],
-                           bucket=F.to_date("updated_at"))
+                           bucket=time_bucket("updated_at", bucket_unit))
     price = latest_per_key(priced, "home_id", ["updated_at"], tie_break=["log_id", "value"],
                            columns=["previous_value", "updated_at"]) \
         .select(F.col("home_id").alias("pp_home"), F.col("previous_value").alias("previous_price"),

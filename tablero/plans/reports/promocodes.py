@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablero import DEFAULT_TZ
 from tablero.functions import is_true, to_local
 from tablero.operators import list_join, number_rows
-from tablero.plans.reports._common import sort_then_label
+from tablero.plans.reports._common import sort_then_label, time_bucket
 
 # Output labels, in report order.
 LABELS = [
@@ -27,7 +27,8 @@ LABELS = [
 GROUP = ["code", "created_at", "due_date", "agency", "is_used", "used_times"]
 
 
-def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True) -> DataFrame:
+def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True,
+          bucket_unit: str = "day") -> DataFrame:
     codes = tables["mongo_promotion_codes"]
     agencies = tables["mongo_agencies"].select(F.col("_id").alias("agency_key"), F.col("name").alias("agency_name"))
     logs = tables["mongo_promotion_code_logs"]
@@ -41,7 +42,7 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     # Uses are numbered per code (promos sharing a code share one sequence),
     # by use time; equal times are ordered by application then promo id.
     numbered = number_rows(rows, "code", ["used_at"], tie_break=["home_application_id", "promo_id"], name="n",
-                           bucket=F.to_date("used_at"))
+                           bucket=time_bucket("used_at", bucket_unit))
     use = F.concat(F.col("n").cast("string"), F.lit(".- "), to_local("used_at", tz).cast("string"), F.lit(", "),
                    F.col("home_application_id"))
     grouped = list_join(numbered.withColumn("use", use), GROUP, "use", order_by=["n"], sep=" / ", name="uses")

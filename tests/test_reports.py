@@ -364,3 +364,18 @@ def test_applications_filters_gender_and_latest_promo(spark):
     assert a1["Fecha Entrega de Documentos"] == dt.datetime(2023, 1, 2, 18)
     assert (a1["Aplicaciones Pagadas"], a1["Homie Score"], a4["Homie Score"]) == (1, 700, None)
     assert (a1["Aplicaciones Aprobadas"], a4["Aplicaciones Aprobadas"], a4["Roomies"]) == (1, 0, 0)
+
+
+def test_bucket_unit_does_not_change_results(spark):
+    def log(i, status, when):
+        return dict(id=f"L{i}", home_id="H1", status=status, created_at=ts(when), updated_at=ts(when))
+    t = make_tables(spark, {
+        "mongo_homes": [dict(id="h1", _id="H1", _status="published")],
+        "mongo_home_logs": [log(1, "in_progress", "2023-01-10 12:00:00"), log(2, "pending_approval", "2023-01-10 13:00:00"),
+                            log(3, "published", "2023-01-10 14:30:00"), log(4, "canceled", "2023-02-01 12:00:00"),
+                            log(5, "published", "2023-05-01 12:00:00")],
+    })
+    by_day = rows(report("homes", t, AS_OF))
+    by_hour = rows(report("homes", t, AS_OF, bucket_unit="hour"))
+    by_month = rows(report("homes", t, AS_OF, bucket_unit="month"))
+    assert by_day == by_hour == by_month
