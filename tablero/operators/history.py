@@ -17,8 +17,8 @@ def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequ
     """Add ``LAG(c, 1) OVER (PARTITION BY keys ORDER BY order, tie)`` for each
     ``c`` in ``cols`` as ``prefix + c`` (order ASC, NULLs last).
 
-    ``bucket`` splits hot keys: give a column monotone in ``order`` (for a
-    log, the day of its timestamp). The LAG is then taken inside each
+    ``bucket`` splits hot keys: give a column (or several, compared in turn)
+    monotone in ``order`` (for a log, the day of its timestamp). The LAG is then taken inside each
     (key, bucket); the first row of a bucket takes the last row of the key's
     previous non-empty bucket, found from a per-(key, bucket) aggregate that
     is combined map-side. A key with a third of all rows then occupies as many
@@ -32,9 +32,10 @@ def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequ
         w = Window.partitionBy(*keys).orderBy(*specs)
         return df.select("*", *[F.lag(F.col(c), 1).over(w).alias(prefix + c) for c in cols])
 
-    d = df.withColumn("_wp_bucket", col(bucket))
+    buckets = [col(b) for b in as_list(bucket)]
+    d = df.select("*", *[b.alias(f"_wp_bucket{i}") for i, b in enumerate(buckets)])
     d, kcols = null_safe_keys(d, keys, "_wp_k")
-    d, bcols = null_safe_keys(d, ["_wp_bucket"], "_wp_b")
+    d, bcols = null_safe_keys(d, [f"_wp_bucket{i}" for i in range(len(buckets))], "_wp_b")
     w_in = Window.partitionBy(*kcols, *bcols).orderBy(*specs)
     inner = d.select("*", F.row_number().over(w_in).alias("_wp_rn"),
                      *[F.lag(F.col(c), 1).over(w_in).alias("_wp_lag_" + c) for c in cols])

@@ -73,8 +73,8 @@ def number_rows(df: DataFrame, keys, order: Sequence[ColumnOrName], tie_break=()
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order ASC NULLS LAST, tie)``
     (``descending``: DESC NULLS FIRST), as BIGINT.
 
-    With ``bucket`` (a column monotone in ``order``, e.g. the day of the
-    order timestamp) rows are numbered inside (key, bucket) and shifted by the
+    With ``bucket`` (a column, or several compared in turn, monotone in
+    ``order``, e.g. the day of the order timestamp) rows are numbered inside (key, bucket) and shifted by the
     row counts of the key's earlier buckets, so a hot key is spread over as
     many tasks as it has buckets. Without it this is a plain window.
     """
@@ -83,9 +83,10 @@ def number_rows(df: DataFrame, keys, order: Sequence[ColumnOrName], tie_break=()
     specs = [col(o).desc_nulls_first() if descending else col(o).asc_nulls_last() for o in full]
     if bucket is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*specs)).cast("bigint"))
-    d = df.withColumn("_nr_bucket", col(bucket))
+    buckets = [col(b) for b in as_list(bucket)]
+    d = df.select("*", *[b.alias(f"_nr_bucket{i}") for i, b in enumerate(buckets)])
     d, kcols = null_safe_keys(d, keys, "_nr_k")
-    d, bcols = null_safe_keys(d, ["_nr_bucket"], "_nr_b")
+    d, bcols = null_safe_keys(d, [f"_nr_bucket{i}" for i in range(len(buckets))], "_nr_b")
     inner = d.withColumn("_nr_in", F.row_number().over(Window.partitionBy(*kcols, *bcols).orderBy(*specs)))
     # bucket sizes from the numbered frame (already partitioned on key, bucket)
     counts = inner.groupBy(*kcols, *bcols).agg(F.max("_nr_in").alias("_nr_n"))

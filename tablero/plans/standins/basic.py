@@ -168,7 +168,7 @@ def status_change_filter(spark, sf):
                                            F.col("o_custkey").alias("customer_id"),
                                            F.col("o_orderstatus").alias("status"), "o_orderdate")
     w = with_previous(o, "customer_id", ["o_orderdate"], ["status"], tie_break=["rent_id"],
-                      bucket=F.year("o_orderdate"))
+                      bucket=F.to_date("o_orderdate"))
     return w.filter(F.col("status") != F.col("previous_status")).drop("o_orderdate")
 
 
@@ -360,8 +360,8 @@ def sort_multi_case(spark, sf):
                  F.col("o_orderstatus").alias("status"), bucket_txt.alias("fee_bucket"),
                  F.col("o_totalprice").alias("price"))
     keys = ["y", "m", "status", "fee_bucket", "price"]
-    # bucket = the first three sort keys as one string: it sorts like them
-    # (4-digit year; no month name is a prefix of another; 1-letter status)
-    bucket = F.concat("y", F.lit("|"), "m", F.lit("|"), "status")
+    # buckets = the leading sort keys and a price band: together they sort
+    # like the full order, and no bucket holds more than one band of prices
+    bucket = ["y", "m", "status", "fee_bucket", F.floor(F.col("price") / 1000)]
     ranked = number_rows(d, [], keys, tie_break=["rent_id"], name="sort_rank", bucket=bucket)
     return ranked.orderBy(*keys, "rent_id")

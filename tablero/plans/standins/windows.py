@@ -118,7 +118,7 @@ def reactivation_gap(spark, sf):
     pubs = (table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
             .select("o_custkey", "o_orderkey", "o_orderdate"))
     r = reactivations(pubs, "o_custkey", "o_orderdate", min_gap=2, tie_break=["o_orderkey"],
-                      bucket=F.year("o_orderdate"), prefix="prev_")
+                      bucket=F.to_date("o_orderdate"), prefix="prev_")
     return r.select(F.col("o_custkey").alias("home_id"), F.col("o_orderkey").alias("rent_id"),
                     F.col("o_orderdate").alias("reactivated_at"), F.col("prev_o_orderdate").alias("previous_at"),
                     boundary_gap_months("prev_o_orderdate", "o_orderdate").alias("gap"))

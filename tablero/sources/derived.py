@@ -130,8 +130,8 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
     })],
     "mongo_rents": [("orders", None, {
         "_id": "'R' || o_orderkey", "home_id": "'H' || o_custkey", "user_id": "'U' || o_custkey",
-        "parent_rent_id": "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'R' || "
-                          "lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) END",
+        "parent_rent_id": "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND o_orderkey > 0 "
+                          "THEN 'R' || (o_orderkey - 1) END",
         "home_application_id": "'A' || o_orderkey",
         "_status": "CASE o_orderstatus WHEN 'O' THEN 'started' WHEN 'F' THEN 'finished' ELSE "
                    "CASE o_orderpriority WHEN '1-URGENT' THEN 'canceled' WHEN '2-HIGH' THEN 'finished_early' "

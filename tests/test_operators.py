@@ -105,3 +105,12 @@ def test_population_and_duplicates(spark):
         sorted([(1,), (2,), (3,), (None,)], key=str)
     dups = duplicate_keys(spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "k int, v string"), "k")
     assert sorted(r.v for r in dups.collect()) == ["x", "y"]
+
+
+def test_multi_column_buckets_equal_plain_window(spark):
+    log = _skewed_log(spark)
+    buckets = [F.to_date("ts"), F.hour("ts")]
+    assert same(number_rows(log, "k", ["ts"], tie_break=["id"]),
+                number_rows(log, "k", ["ts"], tie_break=["id"], bucket=buckets))
+    assert same(with_previous(log, "k", ["ts"], ["s"], tie_break=["id"]),
+                with_previous(log, "k", ["ts"], ["s"], tie_break=["id"], bucket=buckets))
