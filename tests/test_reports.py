@@ -379,3 +379,43 @@ def test_bucket_unit_does_not_change_results(spark):
     by_hour = rows(report("homes", t, AS_OF, bucket_unit="hour"))
     by_month = rows(report("homes", t, AS_OF, bucket_unit="month"))
     assert by_day == by_hour == by_month
+
+
+HOME_STATUSES = {
+    # status: (Status label, Días en Línea, Tipo de Baja)
+    "rented": ("Baja", -31, None), "reserved": ("Baja", -31, None), "master": ("Baja", -31, None),
+    "in_progress": ("En progreso", 0, None), "published": ("Publicado", 136, None),
+    "temporarily_canceled_by_posposal": ("Baja por citas", 0, None),
+    "unpublished_by_meetings": ("Baja por citas", 0, None), "rejected": ("Rechazado", 0, None),
+    "temporarily_canceled": ("Baja temporal", 31, "Baja temporal (Propietario)"),
+    "unpublished": ("Baja temporal", 31, "Baja temporal (Homie)"),
+    "canceled": ("Baja temporal", 31, "Baja temporal (Propietario)"),
+    "pending_approval": ("Pendiente por aprobar", 0, None), "archived": (None, 0, None),
+}
+
+
+def test_homes_status_ladder_and_days_online(spark):
+    homes, logs = [], []
+    for i, status in enumerate(HOME_STATUSES):
+        homes.append(dict(id=f"h{i}", _id=f"H{i}", _status=status))
+        logs.append(dict(id=f"L{i}a", home_id=f"H{i}", status="published", created_at=ts("2023-03-01 12:00:00")))
+        logs.append(dict(id=f"L{i}b", home_id=f"H{i}", status="canceled", created_at=ts("2023-04-01 12:00:00")))
+    # a home rented this month (signed contract), rent created after its last publication
+    homes.append(dict(id="hr", _id="HR", _status="published"))
+    logs.append(dict(id="LR", home_id="HR", status="published", created_at=ts("2023-06-01 12:00:00")))
+    t = make_tables(spark, {
+        "mongo_homes": homes, "mongo_home_logs": logs,
+        "mongo_rents": [dict(_id="R1", home_id="HR", user_id="U1", _status="started",
+                             created_at=ts("2023-06-20 12:00:00"))],
+        "mongo_rental_months": [dict(_id="M1", rent_id="R1", month="july", year="2023", _charge_type="rent_pay",
+                                     _status="paid")],
+        "mongo_rent_contracts": [dict(rent_id="R1", signed_at=ts("2023-06-21 00:00:00"))],
+        "mongo_users": [dict(_id="U1", name="eva", email="e@x")],
+    })
+    out = {r["ID Inmueble"]: r for r in rows(report("homes", t, AS_OF))}
+    for i, (status, (label, days, takedown)) in enumerate(HOME_STATUSES.items()):
+        r = out[f"H{i}"]
+        assert (r["Status"], r["Días en Línea"], r["Tipo de Baja"]) == (label, days, takedown), status
+    rented = out["HR"]
+    assert (rented["Status"], rented["Días en Línea"]) == ("Rentado", 19)
+    assert (rented["Nombre del Inquilino"], rented["Email del Inquilino"]) == ("Eva  ", "e@x")
