@@ -419,3 +419,33 @@ def test_homes_status_ladder_and_days_online(spark):
     rented = out["HR"]
     assert (rented["Status"], rented["Días en Línea"]) == ("Rentado", 19)
     assert (rented["Nombre del Inquilino"], rented["Email del Inquilino"]) == ("Eva  ", "e@x")
+
+
+def test_active_rents_fee_exemption_and_interest_key(spark):
+    def month(mid, rent, fee=None, status="partial_paid"):
+        return dict(id="s" + mid, _id=mid, rent_id=rent, month="july", year="2021", _status=status,
+                    _charge_type="rent_pay", homie_fee=fee, deposit_amount=d(1))
+    t = make_tables(spark, {
+        "mongo_rents": [dict(_id="R1", _status="started", rent_price=d(500), home_application_id="A1"),
+                        dict(_id="R2", _status="started", rent_price=d(500), home_application_id="A2"),
+                        dict(_id="R3", _status="started", rent_price=d(500))],
+        "mongo_rental_months": [month("M1", "R1", d("0.05")), month("M2", "R2", d("0.09")), month("M3", "R3")],
+        "mongo_rental_months_payment_method_fee": [dict(mongo_rental_months_id="sM2",
+                                                        _config_type="homie_only_receive_fee")],
+        "mongo_home_applications": [dict(_id="A1", guarantee_deposit_scheme_id="GA",
+                                         created_at=ts("2021-02-01 05:59:00")),   # Jan 31 local
+                                    dict(_id="A2", guarantee_deposit_scheme_id="GA",
+                                         created_at=ts("2021-02-01 06:00:00"))],  # Feb 1 local
+        "mongo_guarantee_deposit_schemes": [dict(_id="GA", name="A")],
+        "mongo_interest_historics": [dict(rental_month_id="M1", interests=d(-7), created_at=ts("2021-07-01 00:00:00")),
+                                     dict(rental_month_id="M1", interests=d(3), created_at=ts("2021-07-02 00:00:00"))],
+    })
+    out = {r["id mes de renta"]: r for r in rows(report("active_rents", t, AS_OF))}
+    assert (out["M1"]["Porcentaje Comisión"], out["M2"]["Porcentaje Comisión"], out["M3"]["Porcentaje Comisión"]) == \
+        (Decimal("0.0500"), Decimal("0.0000"), Decimal("0.0000"))
+    assert (out["M1"]["DeGa Estimado"], out["M2"]["DeGa Estimado"], out["M3"]["DeGa Estimado"]) == (500.0, 0.0, 500.0)
+    # as written, the interest history is matched on the surrogate month id: nothing matches here
+    assert out["M1"]["interes pagado"] is None
+    by_business_key = {r["id mes de renta"]: r for r in
+                       rows(report("active_rents", t, AS_OF, interest_month_key="_id"))}
+    assert by_business_key["M1"]["interes pagado"] == Decimal("7.00")
