@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 ColumnOrName = Column | str
 
 
-def col(c: ColumnOrName) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def colname(c: ColumnOrName) -> Column:
+    """A column by its exact name (dots and spaces taken literally); a Column
+    is returned as is."""
+    return F.col("`" + c.replace("`", "``") + "`") if isinstance(c, str) else c
+
+
+col = colname
 
 
 def as_list(x) -> list:
@@ -61,6 +66,6 @@ def null_safe_keys(df, cols: Sequence[str], prefix: str):
         else:
             raise TypeError(f"unsupported key type {dt} for {c}")
         v, n = f"{prefix}v{i}", f"{prefix}n{i}"
-        df = df.withColumn(v, F.coalesce(F.col(c), default)).withColumn(n, F.col(c).isNull())
+        df = df.withColumn(v, F.coalesce(colname(c), default)).withColumn(n, colname(c).isNull())
         names += [n, v]
     return df, names

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablero.functions.time import month_boundaries, year_boundaries
-from tablero.operators._cols import ColumnOrName, as_list, col, null_safe_keys
+from tablero.operators._cols import ColumnOrName, as_list, col, colname, null_safe_keys
 
 
 def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequence[str],
@@ -18,11 +18,11 @@ def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequ
     ``c`` in ``cols`` as ``prefix + c`` (order ASC, NULLs last).
 
     ``bucket`` splits hot keys: give a column (or several, compared in turn)
-    monotone in ``order`` (for a log, the day of its timestamp). The LAG is then taken inside each
-    (key, bucket); the first row of a bucket takes the last row of the key's
-    previous non-empty bucket, found from a per-(key, bucket) aggregate that
-    is combined map-side. A key with a third of all rows then occupies as many
-    tasks as it has buckets instead of one.
+    monotone in ``order`` (for a log, the day of its timestamp). The LAG is
+    then taken inside each (key, bucket); the first row of a bucket takes the
+    last row of the key's previous non-empty bucket, looked up in a frame with
+    one row per (key, bucket). A key with a third of all rows then occupies as
+    many tasks as it has buckets instead of one.
     """
     keys = as_list(keys)
     cols = list(cols)
@@ -30,7 +30,7 @@ def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequ
     specs = [col(o).asc_nulls_last() for o in full_order]
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*specs)
-        return df.select("*", *[F.lag(F.col(c), 1).over(w).alias(prefix + c) for c in cols])
+        return df.select("*", *[F.lag(colname(c), 1).over(w).alias(prefix + c) for c in cols])
 
     buckets = [col(b) for b in as_list(bucket)]
     d = df.select("*", *[b.alias(f"_wp_bucket{i}") for i, b in enumerate(buckets)])
@@ -38,20 +38,20 @@ def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequ
     d, bcols = null_safe_keys(d, [f"_wp_bucket{i}" for i in range(len(buckets))], "_wp_b")
     w_in = Window.partitionBy(*kcols, *bcols).orderBy(*specs)
     inner = d.select("*", F.row_number().over(w_in).alias("_wp_rn"),
-                     *[F.lag(F.col(c), 1).over(w_in).alias("_wp_lag_" + c) for c in cols])
-    # The bucket's last row is picked by the window's row number, so the pick
-    # reads the windowed frame: it is already partitioned on (key, bucket), so
-    # no second shuffle, and its input exchange is shared with the main branch.
+                     *[F.lag(colname(c), 1).over(w_in).alias(f"_wp_lag{i}") for i, c in enumerate(cols)])
+    # The bucket's last row is picked by the window's row number from the
+    # windowed frame, which is already partitioned on (key, bucket): the
+    # per-bucket frame needs no shuffle of the rows.
     last = (inner.groupBy(*kcols, *bcols)
-                 .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("_wp_rn")).alias("_wp_last")))
+                 .agg(F.max_by(F.struct(*[colname(c) for c in cols]), F.col("_wp_rn")).alias("_wp_last")))
     # bucket order: the NULL flag first (FALSE < TRUE puts a NULL bucket last), then the value
     wb = Window.partitionBy(*kcols).orderBy(*[F.col(c).asc() for c in bcols])
     prev_bucket = last.select(*kcols, *bcols, F.lag("_wp_last", 1).over(wb).alias("_wp_prev"))
     joined = inner.join(prev_bucket, on=kcols + bcols, how="left")
     return joined.select(
-        *df.columns,
+        *[colname(c) for c in df.columns],
         *[F.when(F.col("_wp_rn") == 1, F.col("_wp_prev").getField(c))
-           .otherwise(F.col("_wp_lag_" + c)).alias(prefix + c) for c in cols])
+           .otherwise(F.col(f"_wp_lag{i}")).alias(prefix + c) for i, c in enumerate(cols)])
 
 
 def entered(state: ColumnOrName, previous: ColumnOrName, states: Sequence[str],

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablero.operators._cols import ColumnOrName, as_list, col, null_safe_keys, order_key
+from tablero.operators._cols import ColumnOrName, as_list, col, colname, null_safe_keys, order_key
 
 
 def _payload(df: DataFrame, keys: list[str], columns) -> list[str]:
@@ -30,10 +30,10 @@ def _pick(df: DataFrame, keys, order, tie_break, columns, largest: bool) -> Data
     keys = as_list(keys)
     payload = _payload(df, keys, columns)
     okey = order_key(as_list(order) + as_list(tie_break))
-    row = F.struct(*[F.col(c) for c in payload])
+    row = F.struct(*[colname(c) for c in payload])
     agg = F.max_by(row, okey) if largest else F.min_by(row, okey)
-    return (df.groupBy(*keys).agg(agg.alias("_picked"))
-              .select(*keys, *[F.col("_picked").getField(c).alias(c) for c in payload]))
+    return (df.groupBy(*[colname(k) for k in keys]).agg(agg.alias("_picked"))
+              .select(*[colname(k) for k in keys], *[F.col("_picked").getField(c).alias(c) for c in payload]))
 
 
 def latest_per_key(df: DataFrame, keys, order, tie_break=(), columns=None) -> DataFrame:
@@ -60,9 +60,10 @@ def first_and_last(df: DataFrame, keys, order, tie_break=(), columns=None,
     keys = as_list(keys)
     payload = _payload(df, keys, columns)
     okey = order_key(as_list(order) + as_list(tie_break))
-    row = F.struct(*[F.col(c) for c in payload])
-    out = df.groupBy(*keys).agg(F.min_by(row, okey).alias("_first"), F.max_by(row, okey).alias("_last"))
-    return out.select(*keys,
+    row = F.struct(*[colname(c) for c in payload])
+    out = df.groupBy(*[colname(k) for k in keys]).agg(F.min_by(row, okey).alias("_first"),
+                                                   F.max_by(row, okey).alias("_last"))
+    return out.select(*[colname(k) for k in keys],
                       *[F.col("_first").getField(c).alias(first_prefix + c) for c in payload],
                       *[F.col("_last").getField(c).alias(last_prefix + c) for c in payload])
 
@@ -95,7 +96,8 @@ def number_rows(df: DataFrame, keys, order: Sequence[ColumnOrName], tie_break=()
     wb = Window.partitionBy(*kcols).orderBy(*b_specs).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*kcols, *bcols, F.coalesce(F.sum("_nr_n").over(wb), F.lit(0)).alias("_nr_off"))
     joined = inner.join(offsets, on=kcols + bcols, how="left")
-    return joined.select(*df.columns, (F.col("_nr_in") + F.col("_nr_off")).cast("bigint").alias(name))
+    return joined.select(*[colname(c) for c in df.columns],
+                         (F.col("_nr_in") + F.col("_nr_off")).cast("bigint").alias(name))
 
 
 def transition_summary(df: DataFrame, keys, order, specs, tie_break=(), extra=None) -> DataFrame:
@@ -117,7 +119,7 @@ def transition_summary(df: DataFrame, keys, order, specs, tie_break=(), extra=No
         pick_order = spec[3] if len(spec) > 3 else order
         okey = order_key(as_list(pick_order) + as_list(tie_break))
         columns = as_list(columns)
-        row = F.struct(*[F.col(c) for c in columns])
+        row = F.struct(*[colname(c) for c in columns])
         masked = F.when(cond, okey)
         agg = F.min_by(row, masked) if which == "first" else F.max_by(row, masked)
         aggs.append(agg.alias(f"_ts_{name}"))
@@ -125,4 +127,4 @@ def transition_summary(df: DataFrame, keys, order, specs, tie_break=(), extra=No
     for name, agg in (extra or {}).items():
         aggs.append(agg.alias(name))
         outs.append(F.col(name))
-    return df.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+    return df.groupBy(*[colname(k) for k in keys]).agg(*aggs).select(*[colname(k) for k in keys], *outs)

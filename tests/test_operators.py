@@ -114,3 +114,13 @@ def test_multi_column_buckets_equal_plain_window(spark):
                 number_rows(log, "k", ["ts"], tie_break=["id"], bucket=buckets))
     assert same(with_previous(log, "k", ["ts"], ["s"], tie_break=["id"]),
                 with_previous(log, "k", ["ts"], ["s"], tie_break=["id"], bucket=buckets))
+
+
+def test_operators_take_column_names_literally(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "`home.id` int, `t s` int, `st.x` string")
+    last = latest_per_key(df, "home.id", ["t s"])
+    assert sorted(tuple(r) for r in last.collect()) == [(1, 2, "b"), (2, 1, "c")]
+    prev = with_previous(df, "home.id", ["t s"], ["st.x"], bucket=F.col("`t s`"))
+    assert sorted(tuple(r) for r in prev.collect()) == [(1, 1, "a", None), (1, 2, "b", "a"), (2, 1, "c", None)]
+    numbered = number_rows(df, "home.id", ["t s"], bucket=F.col("`t s`"))
+    assert sorted(tuple(r) for r in numbered.collect()) == [(1, 1, "a", 1), (1, 2, "b", 2), (2, 1, "c", 1)]
