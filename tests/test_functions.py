@@ -81,3 +81,28 @@ def test_bits_and_labels(spark):
     rows = df.select(has_bit("x", 5).alias("b5"), has_bit("x", 0).alias("b0"),
                      label_map(F.col("x").cast("string"), {"32": "a"}).alias("l")).collect()
     assert [(r.b5, r.b0, r.l) for r in rows] == [(True, False, "a"), (True, True, None), (None, None, None)]
+
+
+def test_calendar_helpers_match_a_python_reference_on_random_pairs(spark):
+    import random
+    import re
+    rnd = random.Random(11)
+    base = dt.datetime(2019, 1, 1)
+    pairs = [(base + dt.timedelta(minutes=rnd.randint(0, 4 * 365 * 24 * 60)),
+              base + dt.timedelta(minutes=rnd.randint(0, 4 * 365 * 24 * 60))) for _ in range(400)]
+    words = ["josé-maría", "o'neil", "ANA  luz", "x1y2 z", "ñandú_(ok)", "", "3er piso-b"]
+    df = spark.createDataFrame([(a, b, words[i % len(words)]) for i, (a, b) in enumerate(pairs)],
+                               "a timestamp_ntz, b timestamp_ntz, w string")
+    got = df.select("a", "b", "w", month_boundaries("a", "b").alias("m"), year_boundaries("a", "b").alias("y"),
+                    day_boundaries("a", "b").alias("d"), month_boundaries("b", "a").alias("m_rev"),
+                    initcap_words("w").alias("ic")).collect()
+
+    def initcap_ref(s):
+        return "".join(p[:1].upper() + p[1:].lower() for p in re.findall(r"[^\W_]+|[\W_]+", s))
+
+    for r in got:
+        assert r.m == (r.b.year * 12 + r.b.month) - (r.a.year * 12 + r.a.month)
+        assert r.y == r.b.year - r.a.year
+        assert r.d == (r.b.date() - r.a.date()).days
+        assert r.m_rev == -r.m
+        assert r.ic == initcap_ref(r.w)
