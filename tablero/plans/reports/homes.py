@@ -255,24 +255,29 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     advisor_users = alias_cols(users, "au_", ["_id", "name", "last_name", "second_last_name", "email",
                                               "mobile_phone"])
 
+    # Joins grouped by key: the per-home frames first (one shuffle of the
+    # homes side serves every sort-merge join on the home id), then the
+    # surrogate-id frames, then the owner, agent and advisor lookups. The
+    # reactivation and booking time conditions are residuals, so the home id
+    # stays the only equi-join key.
+    last_pub = F.col("last_published_at")
     j = (homes.join(rented, homes._id == F.col("tr_home"), "left")
               .join(picks, homes._id == F.col("fl_home"), "left")
-              .join(first_agent, F.col("first_changed_by_id") == F.col("fa__id"), "left")
-              .join(last_agent, F.col("last_changed_by_id") == F.col("la__id"), "left")
-              .join(owner_rows, homes.owner_id == F.col("ow__id"), "left")
-              .join(owner_users, F.col("ow_user_id") == F.col("ou__id"), "left")
-              .join(slots, homes.owner_id == F.col("sh_owner"), "left")
               .join(meetings, F.col("mt_home") == homes._id, "left")
-              .join(react, (homes._id == F.col("re_home")) & (F.col("last_published_at") == F.col("reactivated_at")),
-                    "left")
-              .join(recommended, F.col("rp_home") == homes.id, "left")
-              .join(booked, (homes._id == F.col("bk_home")) & (F.col("booked_at") >= F.col("last_published_at")),
-                    "left")
+              .join(react, (homes._id == F.col("re_home")) & (last_pub <= F.col("reactivated_at"))
+                    & (last_pub >= F.col("reactivated_at")), "left")
+              .join(booked, (homes._id == F.col("bk_home")) & (F.col("booked_at") >= last_pub), "left")
               .join(features, homes._id == F.col("hf_home"), "left")
-              .join(advisors, homes.advisor_id == F.col("ad__id"), "left")
               .join(price, homes._id == F.col("pp_home"), "left")
-              .join(advisor_users, F.col("au__id") == F.col("ad_user_id"), "left")
-              .join(locations, homes.id == F.col("loc_home"), "left"))
+              .join(recommended, F.col("rp_home") == homes.id, "left")
+              .join(locations, homes.id == F.col("loc_home"), "left")
+              .join(owner_rows, homes.owner_id == F.col("ow__id"), "left")
+              .join(slots, homes.owner_id == F.col("sh_owner"), "left")
+              .join(owner_users, F.col("ow_user_id") == F.col("ou__id"), "left")
+              .join(first_agent, F.col("first_changed_by_id") == F.col("fa__id"), "left")
+              .join(last_agent, F.col("last_changed_by_id") == F.col("la__id"), "left")
+              .join(advisors, homes.advisor_id == F.col("ad__id"), "left")
+              .join(advisor_users, F.col("au__id") == F.col("ad_user_id"), "left"))
 
     st = homes._status
     is_rented = F.col("tr_home").isNotNull()
