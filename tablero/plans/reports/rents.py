@@ -97,21 +97,23 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     children = alias_cols(tables["mongo_rents"], "ch_", ["parent_rent_id"])
     last_apps = last_report_per_application(tables)
 
+    # Joins grouped by key: rent id first (contracts, paid advances, renewals),
+    # then the application, home, owner, tenant and fee lookups.
     j = (rents.join(contracts, F.col("c_rent_id") == rents._id, "left")
-              .join(schemes, rents.guarantee_deposit_scheme_id == F.col("gd__id"), "left")
-              .join(company, F.col("cf__id") == rents.rent_third_party_company_fee_id, "left")
-              .join(partners, F.col("bp__id") == F.col("cf_fee_third_party_company_id"), "left")
+              .join(advance, rents._id == F.col("rm_rent_id"), "left")
+              .join(children, (F.col("ch_parent_rent_id") == rents._id)
+                    & (F.col("c_rent_id") == F.col("ch_parent_rent_id")), "left")
+              .join(last_apps, F.col("la_application_id") == rents.home_application_id, "left")
               .join(homes, rents.home_id == F.col("h__id"), "left")
+              .join(owners, F.col("h_owner_id") == F.col("o__id"), "left")
+              .join(owner_users, F.col("o_user_id") == F.col("ou__id"), "left")
               .join(users, rents.user_id == F.col("u__id"), "left")
               # advisor found through the tenant user, as the source does
               .join(advisors, F.col("ha_user_id") == F.col("u__id"), "left")
               .join(advisor_fees, F.col("af__id") == F.col("ha_home_advisor_fee_id"), "left")
-              .join(owners, F.col("h_owner_id") == F.col("o__id"), "left")
-              .join(owner_users, F.col("o_user_id") == F.col("ou__id"), "left")
-              .join(advance, rents._id == F.col("rm_rent_id"), "left")
-              .join(children, (F.col("ch_parent_rent_id") == rents._id)
-                    & (F.col("c_rent_id") == F.col("ch_parent_rent_id")), "left")
-              .join(last_apps, F.col("la_application_id") == rents.home_application_id, "left"))
+              .join(schemes, rents.guarantee_deposit_scheme_id == F.col("gd__id"), "left")
+              .join(company, F.col("cf__id") == rents.rent_third_party_company_fee_id, "left")
+              .join(partners, F.col("bp__id") == F.col("cf_fee_third_party_company_id"), "left"))
 
     st = rents._status
     advance_paid = (F.col("rm__charge_type") == "advance") & (F.col("rm__status") == "paid")
