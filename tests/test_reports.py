@@ -449,3 +449,15 @@ def test_active_rents_fee_exemption_and_interest_key(spark):
     by_business_key = {r["id mes de renta"]: r for r in
                        rows(report("active_rents", t, AS_OF, interest_month_key="_id"))}
     assert by_business_key["M1"]["interes pagado"] == Decimal("7.00")
+
+
+def test_lookup_key_duplicates_points_at_fan_out(spark):
+    from tablero.plans.diagnostics import lookup_key_duplicates
+    t = make_tables(spark, {
+        "mongo_homes": [dict(_id="H1", id="h1"), dict(_id="H1", id="h2"), dict(_id="H2", id="h3")],
+        "mongo_home_features": [dict(home_id="H2", extras=1), dict(home_id="H2", extras=2)],
+    })
+    found = sorted(tuple(r) for r in lookup_key_duplicates(t).collect())
+    assert found == [("mongo_home_features", "home_id", "H2", 2), ("mongo_homes", "_id", "H1", 2)]
+    # and the homes report does fan out on exactly those keys
+    assert report("homes", t, AS_OF).count() == 4
