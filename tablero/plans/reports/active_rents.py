@@ -127,9 +127,11 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     fee = F.col("rm_homie_fee")
     fee_rate = first_match((fee.isNotNull() & (F.col("pmf__config_type") == FEE_CONFIG_NO_FEE), F.lit(0)),
                            (fee.isNull(), F.lit(0)), default=fee)
-    exempt = (F.col("gd_name") == EXEMPT_SCHEME) & (to_local("a_created_at", tz) >= F.lit(EXEMPT_FROM).cast("timestamp_ntz"))
+    exempt = ((F.col("gd_name") == EXEMPT_SCHEME)
+              & (to_local("a_created_at", tz) >= F.lit(EXEMPT_FROM).cast("timestamp_ntz")))
     rounded_fee = F.round(fee, 2)
-    fee_bucket = F.when(~rounded_fee.isin(STANDARD_FEES), F.lit("otros")).otherwise(F.to_char(rounded_fee, F.lit("0D99")))
+    fee_bucket = (F.when(~rounded_fee.isin(STANDARD_FEES), F.lit("otros"))
+                  .otherwise(F.to_char(rounded_fee, F.lit("0D99"))))
     out = j.select(
         rents._id.alias("rent_id"), rents.user_id, F.col("rm__id").alias("rental_month_id"), rents.home_id,
         F.when(bit.isNull(), F.col("h_furnished")).otherwise(bit).alias("furnished"),
