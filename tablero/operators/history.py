@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablero.functions.time import month_boundaries, year_boundaries
-from tablero.operators._cols import ColumnOrName, as_list, col, colname, null_safe_keys
+from tablero.operators._cols import ColumnOrName, as_list, col, colname, null_safe_keys, order_key
 
 
 def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequence[str],
@@ -39,11 +39,11 @@ def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequ
     w_in = Window.partitionBy(*kcols, *bcols).orderBy(*specs)
     inner = d.select("*", F.row_number().over(w_in).alias("_wp_rn"),
                      *[F.lag(colname(c), 1).over(w_in).alias(f"_wp_lag{i}") for i, c in enumerate(cols)])
-    # The bucket's last row is picked by the window's row number from the
-    # windowed frame, which is already partitioned on (key, bucket): the
-    # per-bucket frame needs no shuffle of the rows.
-    last = (inner.groupBy(*kcols, *bcols)
-                 .agg(F.max_by(F.struct(*[colname(c) for c in cols]), F.col("_wp_rn")).alias("_wp_last")))
+    # Each bucket's last row, aggregated from the input and combined map-side:
+    # what crosses the network is one small row per (key, bucket) and task,
+    # not a second shuffle of the rows.
+    last = (d.groupBy(*kcols, *bcols)
+              .agg(F.max_by(F.struct(*[colname(c) for c in cols]), order_key(full_order)).alias("_wp_last")))
     # bucket order: the NULL flag first (FALSE < TRUE puts a NULL bucket last), then the value
     wb = Window.partitionBy(*kcols).orderBy(*[F.col(c).asc() for c in bcols])
     prev_bucket = last.select(*kcols, *bcols, F.lag("_wp_last", 1).over(wb).alias("_wp_prev"))

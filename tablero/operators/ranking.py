@@ -89,8 +89,8 @@ def number_rows(df: DataFrame, keys, order: Sequence[ColumnOrName], tie_break=()
     d, kcols = null_safe_keys(d, keys, "_nr_k")
     d, bcols = null_safe_keys(d, [f"_nr_bucket{i}" for i in range(len(buckets))], "_nr_b")
     inner = d.withColumn("_nr_in", F.row_number().over(Window.partitionBy(*kcols, *bcols).orderBy(*specs)))
-    # bucket sizes from the numbered frame (already partitioned on key, bucket)
-    counts = inner.groupBy(*kcols, *bcols).agg(F.max("_nr_in").alias("_nr_n"))
+    # bucket sizes counted from the input, combined map-side
+    counts = d.groupBy(*kcols, *bcols).agg(F.count(F.lit(1)).alias("_nr_n"))
     # bucket order: NULL flag then value, both reversed for DESC NULLS FIRST
     b_specs = [F.col(c).desc() if descending else F.col(c).asc() for c in bcols]
     wb = Window.partitionBy(*kcols).orderBy(*b_specs).rowsBetween(Window.unboundedPreceding, -1)
