@@ -6,7 +6,7 @@ Layers:
               role slots, ordered lists, ancestor roll-ups, populations)
   sources/    table schemas, catalog loading, driver-table stand-ins, sinks
   plans/      the twelve reports and the operator stand-in queries
-  streaming/  (reports are batch; see module docstring)
+  llm/        operators for large training-data corpora (optional)
 """
 
 DEFAULT_TZ = "America/Mexico_City"

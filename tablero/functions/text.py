@@ -21,7 +21,7 @@ def initcap_words(s: ColumnOrName) -> Column:
     NULL stays NULL."""
     runs = F.regexp_extract_all(_c(s), F.lit(_WORD_RUNS), 1)
     capped = F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)),
-                                                  F.lower(F.substring(x, 2, 1 << 30))))
+                                                  F.lower(F.substring(x, F.lit(2), F.length(x)))))
     return F.when(_c(s).isNotNull(), F.array_join(capped, ""))
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -45,23 +44,4 @@ def configure(spark: SparkSession) -> SparkSession:
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``. Only a local-mode session without one (tests,
-    local runs) gets a scratch folder; on a cluster nothing machine-local is
-    ever set, and None is returned when the cluster names no folder."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        return None
-    path = tempfile.mkdtemp(prefix="tablero-ckpt-")
-    sc.setCheckpointDir(path)
-    return path

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tablero.operators import (entered, first_per_key, latest_per_key, moved, transition_summary,
                                with_previous)
-from tablero.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -76,8 +75,3 @@ def test_log_windows_are_split_by_day(spark):
             if "Window [" in line and "_wp_" in line and "lag(" in line:
                 spec = line.split("windowspecdefinition(")[1]
                 assert "_wp_bn0" in spec and "_wp_bv0" in spec, f"{name}: {line[:200]}"
-
-
-def test_checkpoint_folder_is_the_sessions(spark):
-    path = ensure_checkpoint_dir(spark)
-    assert path and spark.sparkContext.getCheckpointDir()
