@@ -23,6 +23,8 @@ from tablero.sources.schemas import SCHEMAS
 SHIFT = "INTERVAL 8401 DAY"
 ORDER_AT = f"(o_orderdate + {SHIFT})"
 SHIP_AT = f"(l_shipdate + {SHIFT})"
+# the event log spans a month; as a home's status log it is spread over some 14
+LOG_AT = "(ts - INTERVAL 1 DAY * CAST(event_id % 400 AS INT))"
 MONTH_KEY = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
 # Engine-specific spellings: (Spark, DuckDB).
 SHIP_MONTH = (f"lower(date_format({SHIP_AT}, 'MMMM'))", f"lower(strftime({SHIP_AT}, '%B'))")
@@ -114,7 +116,7 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "changed_by_id": "'U' || CAST(floor(value) AS BIGINT)",
         "reason": "CASE WHEN value < 10 THEN 'sin razon' WHEN value < 30 THEN 'Baja. Razón: motivo ' || event_id "
                   "ELSE 'Baja. Razón: motivo: ' || props END",
-        "created_at": "ts", "updated_at": "ts + INTERVAL 1 HOUR",
+        "created_at": LOG_AT, "updated_at": f"{LOG_AT} + INTERVAL 1 HOUR",
     })],
     "mongo_home_logs_previous_values": [("events", "event_type IN ('view', 'click')", {
         "id": "'V' || event_id", "mongo_home_logs_id": "'L' || event_id",
@@ -224,7 +226,8 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "amount": "CAST(l_quantity AS DECIMAL(18,2)) + 1",
     })],
     "mongo_interest_historics": [("lineitem", None, {
-        "rental_month_id": f"'M' || {MONTH_KEY}",
+        # the history is matched on the months' surrogate id by one report and on the business key by another
+        "rental_month_id": f"CASE WHEN l_linenumber > 3 THEN 'M' ELSE 's' END || {MONTH_KEY}",
         "interests": "CASE WHEN l_tax = 0 THEN NULL ELSE CAST(l_quantity AS DECIMAL(18,2)) - 25 END",
         "created_at": SHIP_AT,
     })],
@@ -263,7 +266,7 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "paymentable_id": "'A' || o_orderkey", "paid_at": f"{ORDER_AT} + INTERVAL 1 DAY",
     })],
     "mongo_promotion_codes": [("customer", None, {
-        "_id": "'PC' || c_custkey", "code": "c_mktsegment",
+        "_id": "'PC' || c_custkey", "code": "c_mktsegment || CAST(floor(c_custkey / 3) AS BIGINT)",
         "agency_id": "CASE WHEN c_acctbal < 0 THEN NULL ELSE 'AG' || c_nationkey END",
         "is_used": "CASE WHEN c_acctbal < 1000 THEN NULL ELSE c_acctbal > 5000 END", "used_times": "c_nationkey",
         "percentage": "CAST(c_nationkey AS DECIMAL(18,2))",
@@ -314,7 +317,7 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "state": "CASE WHEN p_size = 1 THEN NULL ELSE 'CDMX' END",
         "city": "CASE WHEN p_size = 2 THEN NULL ELSE p_type END", "neighborhood": "p_brand",
         "antiquity": "CAST(p_size AS STRING)", "post_age": "'hace ' || p_size || ' dias'",
-        "date_in": "TIMESTAMP '2023-01-01 00:00:00' + INTERVAL 1 HOUR", "price": "CAST(p_retailprice AS DECIMAL(18,2))",
+        "date_in": "TIMESTAMP '2023-01-01 00:00:00' + INTERVAL 1 DAY * CAST(p_partkey % 97 AS INT)", "price": "CAST(p_retailprice AS DECIMAL(18,2))",
         "price_maintenance": "CAST(p_size AS DECIMAL(18,2))", "price_x_mt2": "CAST(p_size AS DECIMAL(18,2)) * 2",
         "covered_area": "p_retailprice / 10", "land_area": "CAST(p_size AS DOUBLE)",
         "latitude": "CASE WHEN p_size = 3 THEN NULL ELSE CAST(p_size - 25 AS DOUBLE) * 4 END",
@@ -333,7 +336,8 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "id": "'I' || c_custkey", "url": "'https://i24.test/' || c_custkey",
         "state": "CASE WHEN c_nationkey = 0 THEN NULL ELSE 'Jalisco' END", "city": "c_mktsegment",
         "neighborhood": "'N' || c_nationkey", "antiquity": "'1'", "post_age": "'hoy'",
-        "date_in": "CASE WHEN c_acctbal > 0 THEN TIMESTAMP '2023-02-01 00:00:00' END",
+        "date_in": "CASE WHEN c_acctbal > 0 THEN TIMESTAMP '2023-02-01 00:00:00' "
+                   "+ INTERVAL 1 DAY * CAST(c_custkey % 50 AS INT) END",
         "price": "CAST(c_acctbal AS DECIMAL(18,2)) + 10000", "price_maintenance": "CAST(100 AS DECIMAL(18,2))",
         "price_no_maint": "CAST(c_acctbal AS DECIMAL(18,2))", "covered_area": "c_acctbal / 100",
         "land_area": "CAST(c_nationkey AS DOUBLE)", "latitude": "CAST(c_nationkey * 5 - 20 AS DOUBLE)",
