@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators (all lazy; none triggers an action)."""
 
-from tablero.operators.aggregate import count_when, list_join, sum_by
+from tablero.operators.aggregate import count_when, list_join, sibling_sums, sum_by
 from tablero.operators.combine import (lookup, members, population, role_pivot, rollup_ancestors,
                                        slot_join)
 from tablero.operators.history import (boundary_gap_months, entered, moved, reactivations,
@@ -13,5 +13,5 @@ __all__ = [
     "any_one_per_key", "boundary_gap_months", "clean_listings", "count_when", "duplicate_keys",
     "entered", "first_and_last", "first_per_key", "latest_per_key", "list_join", "lookup",
     "members", "moved", "number_rows", "population", "reactivations", "role_pivot",
-    "rollup_ancestors", "slot_join", "sum_by", "transition_summary", "transitions", "with_previous",
+    "rollup_ancestors", "sibling_sums", "slot_join", "sum_by", "transition_summary", "transitions", "with_previous",
 ]

@@ -50,3 +50,29 @@ def list_join(df: DataFrame, keys, item: ColumnOrName, order_by: Sequence[Column
 def sum_by(df: DataFrame, keys, values: Mapping[str, ColumnOrName]) -> DataFrame:
     """``SUM(v)`` per key for each output name -> column."""
     return df.groupBy(*as_list(keys)).agg(*[F.sum(col(v)).alias(n) for n, v in values.items()])
+
+
+def sibling_sums(children: Mapping[str, DataFrame], key: str, value: str) -> DataFrame:
+    """``SUM(value)`` of each child as if all were left-joined to the record
+    ``key`` side by side: a child's sum counts once per combination of the
+    other children's rows (a missing child being one NULL row). One row per
+    record that has any child, ``<name>_total`` per child.
+
+    The children are read as one tagged union and grouped once; a child's sum
+    is weighted by the others' row counts, so no row product is built.
+    """
+    tagged = None
+    for name, child in children.items():
+        rows = child.select(col(key).alias("_record"), F.lit(name).alias("_child"), col(value).alias("_value"))
+        tagged = rows if tagged is None else tagged.unionByName(rows)
+    per = tagged.groupBy("_record").agg(
+        *[F.sum(F.when(F.col("_child") == n, F.col("_value"))).alias(f"_sum_{n}") for n in children],
+        *[F.greatest(F.count(F.when(F.col("_child") == n, 1)), F.lit(1)).alias(f"_rows_{n}") for n in children])
+
+    def weighted(name: str) -> Column:
+        total = F.col(f"_sum_{name}")
+        for other in children:
+            if other != name:
+                total = total * F.col(f"_rows_{other}")
+        return total
+    return per.select(F.col("_record").alias(key), *[weighted(n).alias(f"{n}_total") for n in children])

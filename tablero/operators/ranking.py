@@ -93,8 +93,19 @@ def number_rows(df: DataFrame, keys, order: Sequence[ColumnOrName], tie_break=()
     counts = d.groupBy(*kcols, *bcols).agg(F.count(F.lit(1)).alias("_nr_n"))
     # bucket order: NULL flag then value, both reversed for DESC NULLS FIRST
     b_specs = [F.col(c).desc() if descending else F.col(c).asc() for c in bcols]
-    wb = Window.partitionBy(*kcols).orderBy(*b_specs).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*kcols, *bcols, F.coalesce(F.sum("_nr_n").over(wb), F.lit(0)).alias("_nr_off"))
+    lead, zero = bcols[:2], F.lit(0)
+    if len(buckets) > 1:
+        # two levels: inside each leading bucket, then over the leading buckets'
+        # totals, so no window runs over all buckets of a key
+        totals = counts.groupBy(*kcols, *lead).agg(F.sum("_nr_n").alias("_nr_t"))
+        over = Window.partitionBy(*kcols).orderBy(*b_specs[:2]).rowsBetween(Window.unboundedPreceding, -1)
+        totals = totals.select(*kcols, *lead, F.coalesce(F.sum("_nr_t").over(over), zero).alias("_nr_before"))
+        wb = Window.partitionBy(*kcols, *lead).orderBy(*b_specs[2:]).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = (counts.join(totals, on=kcols + lead)
+                   .select(*kcols, *bcols, (F.col("_nr_before") + F.coalesce(F.sum("_nr_n").over(wb), zero)).alias("_nr_off")))
+    else:
+        wb = Window.partitionBy(*kcols).orderBy(*b_specs).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select(*kcols, *bcols, F.coalesce(F.sum("_nr_n").over(wb), zero).alias("_nr_off"))
     joined = inner.join(offsets, on=kcols + bcols, how="left")
     return joined.select(*[colname(c) for c in df.columns],
                          (F.col("_nr_in") + F.col("_nr_off")).cast("bigint").alias(name))

@@ -105,23 +105,23 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     apps = alias_cols(tables["mongo_home_applications"], "a_", ["_id", "guarantee_deposit_scheme_id", "created_at"])
     schemes = alias_cols(tables["mongo_guarantee_deposit_schemes"], "gd_", ["_id", "name"])
 
-    # The month filters reject NULL-padded rows: the month join is inner.
-    # Joins are grouped by key (rent id, then rental month, then the home and
-    # user lookups), so consecutive sort-merge joins reuse one partitioning.
-    j = (rents.join(months, rents._id == F.col("rm_rent_id"), "inner")
-              .filter(not_in(rents._status, CLOSED_RENT_STATES) | (F.col("rm__status") != "pending"))
-              .join(deposits, rents._id == F.col("hd_rent"), "left")
-              .join(contracts, rents._id == F.col("c_rent_id"), "left")
-              .join(payments, F.col("rm__id") == F.col("lp_month"), "left")
-              .join(interest, F.col("rm__id") == F.col("in_month"), "left")
-              .join(fee_cfg, F.col("pmf_mongo_rental_months_id") == F.col("rm_id"), "left")
-              .join(homes, rents.home_id == F.col("h__id"), "left")
-              .join(features, F.col("h__id") == F.col("hf_home_id"), "left")
-              .join(owners, F.col("h_owner_id") == F.col("o__id"), "left")
-              .join(owner_users, F.col("o_user_id") == F.col("ou__id"), "left")
-              .join(users, rents.user_id == F.col("u__id"), "left")
-              .join(apps, rents.home_application_id == F.col("a__id"), "left")
-              .join(schemes, F.col("a_guarantee_deposit_scheme_id") == F.col("gd__id"), "left"))
+    # The month filters reject NULL-padded rows: the month join is inner. What
+    # hangs on the rent is joined at rent grain, what hangs on the month at
+    # month grain, and the two sides meet once on the rent id.
+    rent_side = (rents.join(deposits, rents._id == F.col("hd_rent"), "left")
+                      .join(contracts, rents._id == F.col("c_rent_id"), "left")
+                      .join(homes, rents.home_id == F.col("h__id"), "left")
+                      .join(features, F.col("h__id") == F.col("hf_home_id"), "left")
+                      .join(owners, F.col("h_owner_id") == F.col("o__id"), "left")
+                      .join(owner_users, F.col("o_user_id") == F.col("ou__id"), "left")
+                      .join(users, rents.user_id == F.col("u__id"), "left")
+                      .join(apps, rents.home_application_id == F.col("a__id"), "left")
+                      .join(schemes, F.col("a_guarantee_deposit_scheme_id") == F.col("gd__id"), "left"))
+    month_side = (months.join(payments, F.col("rm__id") == F.col("lp_month"), "left")
+                        .join(interest, F.col("rm__id") == F.col("in_month"), "left")
+                        .join(fee_cfg, F.col("pmf_mongo_rental_months_id") == F.col("rm_id"), "left"))
+    j = (month_side.join(rent_side, rents._id == F.col("rm_rent_id"), "inner")
+                   .filter(not_in(rents._status, CLOSED_RENT_STATES) | (F.col("rm__status") != "pending")))
 
     bit = has_bit("hf_extras", FURNISHED_BIT)
     fee = F.col("rm_homie_fee")

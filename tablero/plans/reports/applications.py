@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablero import DEFAULT_TZ
 from tablero.functions import (as_of_date, flag_int, full_name, join_parts, label_map, not_in, to_local,
                                year_boundaries)
-from tablero.operators import latest_per_key, role_pivot
+from tablero.operators import any_one_per_key, latest_per_key, role_pivot
 from tablero.plans.reports._common import alias_cols, as_of_value, sort_then_label
 
 # Output labels, in report order.
@@ -61,8 +61,15 @@ STEP_COMPLETE = "complete"
 
 def _one_per(df: DataFrame, key: str, order, columns) -> DataFrame:
     """Deterministic single child row per key (the source keeps an arbitrary
-    one of the joined combinations after its per-application ROW_NUMBER)."""
-    return latest_per_key(df, key, order, tie_break=columns, columns=columns)
+    one of the joined combinations after its per-application ROW_NUMBER).
+    Among rows equal in ``order`` a row with values goes before one without."""
+    known = [x for c in columns for x in (F.col(c).isNotNull(), F.col(c))]
+    return latest_per_key(df, key, order, tie_break=known, columns=columns)
+
+
+def _lookup_row(df: DataFrame, key: str) -> DataFrame:
+    """One row per key of a lookup table: a repeated key must not repeat the application."""
+    return any_one_per_key(df.filter(F.col(key).isNotNull()), key)
 
 
 def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True) -> DataFrame:
@@ -89,12 +96,12 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     steps = role_pivot(steps, "home_application_id", "step",
                        {"documents": STEP_DOCUMENTS, "complete": STEP_COMPLETE}, ["step_date"]) \
         .withColumnRenamed("home_application_id", "st_app")
-    users = alias_cols(tables["mongo_users"], "u_",
+    users = _lookup_row(alias_cols(tables["mongo_users"], "u_",
                        ["_id", "name", "last_name", "second_last_name", "email", "mobile_phone", "date_of_birth",
-                        "marital_status", "_gender"])
-    homes = alias_cols(tables["mongo_homes"], "h_", ["_id", "address_from_location", "street", "number",
-                                                     "neighborhood"])
-    schemes = alias_cols(tables["mongo_guarantee_deposit_schemes"], "gd_", ["_id", "name"])
+                        "marital_status", "_gender"]), "u__id")
+    homes = _lookup_row(alias_cols(tables["mongo_homes"], "h_", ["_id", "address_from_location", "street", "number",
+                                                     "neighborhood"]), "h__id")
+    schemes = _lookup_row(alias_cols(tables["mongo_guarantee_deposit_schemes"], "gd_", ["_id", "name"]), "gd__id")
 
     j = (apps.join(rents, F.col("r_home") == apps.home_id, "left")
              .join(users, F.col("u__id") == apps.user_id, "left")

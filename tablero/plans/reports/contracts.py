@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablero import DEFAULT_TZ
-from tablero.functions import first_match, to_local, yes_no
+from tablero.functions import label_map, to_local, yes_no
 from tablero.plans.reports._common import labelled
 
 # Output labels, in report order.
@@ -29,6 +29,14 @@ LABELS = [
 ]
 
 
+# The contract's state by its status while unsigned, for a renewal and for a first contract.
+SIGNED = "Firmado"
+NO_STATE = "NA"
+UNSIGNED_RENEWAL = {"not_renewed": "No Renovado", "canceled": "No Renovado",
+                    "pending": "Pendiente de Firma", "renewal_process": "Pendiente de Firma"}
+UNSIGNED_NEW = {"canceled": "Cancelado", "pending": "Pendiente de Firma"}
+
+
 def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True) -> DataFrame:
     contracts = tables["mongo_rent_contracts"]
     rents = tables["mongo_rents"].select(F.col("_id").alias("r_id"), F.col("parent_rent_id"),
@@ -39,16 +47,12 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     renewal = F.col("parent_rent_id").isNotNull()
     signed = contracts.signed_at.isNotNull()
     st = contracts._status
-    renewed_state = first_match(
-        (renewal & signed, F.lit("Firmado")),
-        (renewal & ~signed & st.isin("not_renewed", "canceled"), F.lit("No Renovado")),
-        (renewal & ~signed & st.isin("pending", "renewal_process"), F.lit("Pendiente de Firma")),
-        default=F.lit("NA"))
-    new_state = first_match(
-        (~renewal & signed, F.lit("Firmado")),
-        (~renewal & ~signed & (st == "canceled"), F.lit("Cancelado")),
-        (~renewal & ~signed & (st == "pending"), F.lit("Pendiente de Firma")),
-        default=F.lit("NA"))
+
+    def state(applies: Column, unsigned: Mapping[str, str]) -> Column:
+        label = F.when(signed, F.lit(SIGNED)).otherwise(label_map(st, unsigned))
+        return F.coalesce(F.when(applies, label), F.lit(NO_STATE))
+
+    renewed_state, new_state = state(renewal, UNSIGNED_RENEWAL), state(~renewal, UNSIGNED_NEW)
     out = j.select(contracts._id.alias("contract_id"), to_local(contracts.created_at, tz).alias("created_at"),
                    contracts.signed_at, "parent_rent_id", "parent_status", contracts.rent_id,
                    contracts.started_at, contracts.ends_at, st.alias("contract_status"), "rent_status",

@@ -20,17 +20,17 @@ Re-design of the source's fifteen CTEs for Spark:
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablero import DEFAULT_TZ
-from tablero.functions import (as_of_date, as_of_lit, day_boundaries, first_match, full_name, has_bit,
+from tablero.functions import (as_of_date, as_of_lit, day_boundaries, first_match, full_name, has_bit, label_map,
                                join_parts, month_start, not_in, parse_month, split_part, to_local, yes_no)
-from tablero.operators import (count_when, entered, latest_per_key, moved, role_pivot, transition_summary,
+from tablero.operators import (count_when, entered, latest_per_key, moved, reactivations, role_pivot, transition_summary,
                                with_previous)
-from tablero.operators.history import boundary_gap_months
 from tablero.plans.reports._common import alias_cols, as_of_value, labelled, time_bucket
 
 # Output labels, in report order (spelling as published).
@@ -110,6 +110,12 @@ LABELS = [
 PUBLISHED = "published"
 PENDING = "pending_approval"
 TAKEDOWN_STATES = ["canceled", "unpublished", "temporarily_canceled"]
+GONE_STATES = ["rented", "reserved", "master"]
+STATUS_LABELS = {"rented": "Baja", "reserved": "Baja", "master": "Baja", "in_progress": "En progreso",
+                 "published": "Publicado", "temporarily_canceled_by_posposal": "Baja por citas",
+                 "unpublished_by_meetings": "Baja por citas", "rejected": "Rechazado",
+                 "temporarily_canceled": "Baja temporal", "unpublished": "Baja temporal",
+                 "canceled": "Baja temporal", "pending_approval": "Pendiente por aprobar"}
 CLOSED_RENT_STATES = ["canceled", "finished_early", "negotiation"]
 ADVISOR_ROLES = {"sells": "sells", "customer_success": "customer_success"}
 REASON_SEPARATOR = ". Razón: "
@@ -124,7 +130,7 @@ VIDEO_PREFIX = "https://"
 def status_history(tables: Mapping[str, DataFrame], tz: str, bucket_unit: str = "day") -> DataFrame:
     """The log with previous status (LAG ordered by the stored UTC time, log
     id breaking ties) and the local time."""
-    log = tables["mongo_home_logs"].select("home_id", "id", "created_at", "status", "changed_by_id", "reason")
+    log = tables["mongo_home_logs"].filter(F.col("home_id").isNotNull()).select("home_id", "id", "created_at", "status", "changed_by_id", "reason")
     h = with_previous(log, "home_id", ["created_at"], ["status"], tie_break=["id"],
                       bucket=time_bucket("created_at", bucket_unit))
     return h.withColumn("local_at", to_local("created_at", tz))
@@ -135,15 +141,6 @@ def publications(history: DataFrame) -> DataFrame:
                    .select("home_id", "id", F.col("local_at").alias("published_at"), "changed_by_id"))
 
 
-def reactivations(pubs: DataFrame, bucket_unit: str = "day") -> DataFrame:
-    """Publications at least two (boundary-counted) months after the previous
-    publication of the home."""
-    p = with_previous(pubs.select("home_id", "id", "published_at"), "home_id", ["published_at"], ["published_at"],
-                      tie_break=["id"], bucket=time_bucket("published_at", bucket_unit))
-    return (p.filter(boundary_gap_months("previous_published_at", "published_at") >= REACTIVATION_MIN_GAP)
-             .select(F.col("home_id").alias("re_home"), F.col("published_at").alias("reactivated_at")))
-
-
 def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True,
           fix_double_tz: bool = False, bucket_unit: str = "day") -> DataFrame:
     """``bucket_unit``: time unit the log windows are split by (see
@@ -171,7 +168,10 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
                          F.col("last_pub_changed_by_id").alias("last_changed_by_id"),
                          F.col("first_pending_local_at").alias("fp_at"), F.col("last_pending_local_at").alias("lp_at"),
                          F.col("down_local_at").alias("taken_down_at"), F.col("down_reason").alias("dn_reason"))
-    react = reactivations(publications(history), bucket_unit)
+    # A home is reactivated if its last publication is one: the latest such time decides.
+    react = (reactivations(publications(history), "home_id", "published_at", min_gap=REACTIVATION_MIN_GAP,
+                           tie_break=["id"], bucket=time_bucket("published_at", bucket_unit))
+             .groupBy(F.col("home_id").alias("re_home")).agg(F.max("published_at").alias("reactivated_at")))
 
     # Latest paid advance per home.
     months = tables["mongo_rental_months"]
@@ -188,8 +188,12 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     pvp = tables["mongo_home_logs_previous_values_price"].filter(F.col("value").isNotNull())
     logs = tables["mongo_home_logs"]
     changed = to_local(logs.updated_at, tz)
+    day = dt.timedelta(days=1)  # more than any zone's offset
+    raw_from = F.lit((dt.datetime.fromisoformat(PRICE_HISTORY_FROM) - day).isoformat(sep=" ")).cast("timestamp_ntz")
+    raw_to = F.lit((now + day).isoformat(sep=" ")).cast("timestamp_ntz")
     priced = (pvp.join(pv, pvp.mongo_home_logs_previous_values_id == pv.id, "inner")
                  .join(logs, pv.mongo_home_logs_id == logs.id, "inner")
+                 .filter((logs.updated_at >= raw_from) & (logs.updated_at <= raw_to))  # reaches the scan
                  .filter((changed >= F.lit(PRICE_HISTORY_FROM).cast("timestamp_ntz")) & (changed <= now_ts))
                  .select(logs.home_id, logs.id.alias("log_id"), logs.updated_at, pvp.value))
     priced = priced.join(homes.select(F.col("_id").alias("ph_home")), F.col("ph_home") == F.col("home_id"),
@@ -209,8 +213,7 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
                     .join(users.select(F.col("_id").alias("sh_uid"), F.col("id").alias("sh_usurrogate")),
                           F.col("sh_user") == F.col("sh_uid"), "inner")
                     .join(heroes, F.col("sh_usurrogate") == heroes.mongo_users_id, "inner"))
-    picked = latest_per_key(owner_heroes, ["sh_owner", "_super_hero_type"], [], tie_break=["email"],
-                            columns=["email"])
+    picked = owner_heroes.groupBy("sh_owner", "_super_hero_type").agg(F.max("email").alias("email"))
     slots = role_pivot(picked, "sh_owner", "_super_hero_type", ADVISOR_ROLES, ["email"])
 
     # Tenant renting this month (signed contract), latest rent first.
@@ -258,14 +261,13 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     # Joins grouped by key: the per-home frames first (one shuffle of the
     # homes side serves every sort-merge join on the home id), then the
     # surrogate-id frames, then the owner, agent and advisor lookups. The
-    # reactivation and booking time conditions are residuals, so the home id
-    # stays the only equi-join key.
+    # booking time condition is a residual, so the home id stays the only
+    # equi-join key.
     last_pub = F.col("last_published_at")
     j = (homes.join(rented, homes._id == F.col("tr_home"), "left")
               .join(picks, homes._id == F.col("fl_home"), "left")
               .join(meetings, F.col("mt_home") == homes._id, "left")
-              .join(react, (homes._id == F.col("re_home")) & (last_pub <= F.col("reactivated_at"))
-                    & (last_pub >= F.col("reactivated_at")), "left")
+              .join(react, homes._id == F.col("re_home"), "left")
               .join(booked, (homes._id == F.col("bk_home")) & (F.col("booked_at") >= last_pub), "left")
               .join(features, homes._id == F.col("hf_home"), "left")
               .join(price, homes._id == F.col("pp_home"), "left")
@@ -283,27 +285,15 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     is_rented = F.col("tr_home").isNotNull()
     free = F.col("tr_home").isNull()
     last_pub = F.col("last_published_at")
-    status_label = first_match(
-        (is_rented, F.lit("Rentado")),
-        (free & st.isin("rented", "reserved", "master"), F.lit("Baja")),
-        (free & (st == "in_progress"), F.lit("En progreso")),
-        (free & (st == "published"), F.lit("Publicado")),
-        (free & st.isin("temporarily_canceled_by_posposal", "unpublished_by_meetings"), F.lit("Baja por citas")),
-        (free & (st == "rejected"), F.lit("Rechazado")),
-        (free & st.isin("temporarily_canceled", "unpublished", "canceled"), F.lit("Baja temporal")),
-        (free & (st == "pending_approval"), F.lit("Pendiente por aprobar")))
-    rented_at = F.col("rented_at")
-    down_at = F.col("taken_down_at")
-    days_online = first_match(
-        (is_rented & (last_pub < rented_at), day_boundaries(last_pub, rented_at)),
-        (is_rented & (rented_at > last_pub), day_boundaries(rented_at, last_pub)),
-        (free & st.isin("rented", "reserved", "master"), day_boundaries(down_at, last_pub)),
-        (free & (st == "in_progress"), day_boundaries(now_ts, now_ts)),
-        (free & (st == "published"), day_boundaries(last_pub, now_ts)),
-        (free & (st == "rejected") & last_pub.isNull(), day_boundaries(last_pub, down_at)),
-        (free & st.isin("temporarily_canceled", "unpublished", "canceled"), day_boundaries(last_pub, down_at)),
-        (free & (st == "pending_approval"), day_boundaries(now_ts, now_ts)),
-        default=F.lit(0))
+    status_label = F.when(is_rented, F.lit("Rentado")).otherwise(label_map(st, STATUS_LABELS))
+    rented_at, down_at = F.col("rented_at"), F.col("taken_down_at")
+    gone, off, online = (free & st.isin(GONE_STATES), free & st.isin(TAKEDOWN_STATES), free & (st == PUBLISHED))
+    since = F.when(gone, down_at).otherwise(last_pub)
+    until = F.when(is_rented, rented_at).when(online, now_ts).when(off, down_at).when(gone, last_pub)
+    never_online = free & (st == "rejected") & last_pub.isNull()
+    days_online = first_match((never_online, F.lit(None).cast("bigint")),
+                              ((is_rented & (rented_at > last_pub)) | gone | off | online, day_boundaries(since, until)),
+                              default=F.lit(0))
     again = to_local(homes.available_again_from, tz)
     pending_tz = (lambda c: F.col(c)) if fix_double_tz else (lambda c: to_local(c, tz))
     reason_body = split_part("dn_reason", REASON_SEPARATOR, 2)
@@ -338,7 +328,7 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
         F.coalesce("meetings_total", F.lit(0)).alias("meetings_total"),
         F.coalesce("meetings_confirmed", F.lit(0)).alias("meetings_confirmed"),
         F.coalesce("meetings_canceled", F.lit(0)).alias("meetings_canceled"),
-        homes.visits, yes_no(F.col("reactivated_at").isNotNull()).alias("reactivated"),
+        homes.visits, yes_no(F.col("reactivated_at") == last_pub).alias("reactivated"),
         F.col("fa_email").alias("first_agent_email"), F.col("la_email").alias("last_agent_email"), homes.campaign,
         "previous_price",
         (F.coalesce(homes.price, F.lit(0)) + F.coalesce(homes.extra_services_amount, F.lit(0))).alias("total_price"),

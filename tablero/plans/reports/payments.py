@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablero import DEFAULT_TZ
 from tablero.functions import (first_match, full_name, is_false, is_true, label_map, month_boundaries,
                                month_label, to_local)
+from tablero.operators import sibling_sums
 from tablero.plans.reports._common import alias_cols, sort_then_label
 
 # Output labels, in report order.
@@ -80,40 +81,20 @@ def srpago_totals(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Per rental month, the four dispersion sums of applied references.
 
     The source sums after joining the four child tables of each dispersion
-    record side by side, so each child amount is counted once per
-    combination with the other children's rows. That result is reproduced
-    exactly from per-record (sum, count) pre-aggregates: a child's sum is
-    weighted by the product of the other children's row counts (at least 1,
-    a missing child being one NULL row). No row product is materialised.
+    record side by side; ``sibling_sums`` gives that result from one grouping
+    of the children.
     """
-    data = tables["mongo_payment_reference_requests_dispersion_data"]
-    per_child = {}
-    for name, (tbl, col) in _DISPERSION_CHILDREN.items():
-        per_child[name] = (tables[tbl].groupBy(F.col("mongo_payment_reference_requests_dispersion_data_id")
-                                               .alias(f"{name}_dd"))
-                           .agg(F.sum(col).alias(f"{name}_sum"), F.count(F.lit(1)).alias(f"{name}_rows")))
-    j = data
-    for name, agg in per_child.items():
-        j = j.join(agg, data.id == F.col(f"{name}_dd"), "left")
-
-    def rows(n: str) -> Column:
-        return F.coalesce(F.col(f"{n}_rows"), F.lit(1))
-
-    weighted = []
-    for name in per_child:
-        mult = F.lit(1)
-        for other in per_child:
-            if other != name:
-                mult = mult * rows(other)
-        weighted.append((F.col(f"{name}_sum") * mult).alias(f"{name}_w"))
-    per_data = j.select(data.mongo_payment_reference_requests_id.alias("ref_id"), *weighted)
-
+    key = "mongo_payment_reference_requests_dispersion_data_id"
+    children = {name: tables[tbl].select(key, F.col(amount).alias("amount")) for name, (tbl, amount) in _DISPERSION_CHILDREN.items()}
+    data = tables["mongo_payment_reference_requests_dispersion_data"].select(
+        F.col("id").alias(key), F.col("mongo_payment_reference_requests_id").alias("ref_id"))
+    per_data = data.join(sibling_sums(children, key, "amount"), key, "left")
     refs = tables["mongo_payment_reference_requests"].filter(is_true("applied_to_rental_month"))
-    months = tables["mongo_rental_months"].select(F.col("_id").alias("m_id"))
-    k = (months.join(refs, refs.rental_month_id == F.col("m_id"), "inner")
-               .join(per_data, F.col("ref_id") == refs.id, "left"))
-    return k.groupBy(F.col("m_id").alias("sp_month")).agg(
-        *[F.sum(f"{n}_w").alias(f"{n}_total") for n in per_child])
+    refs = refs.select(F.col("id").alias("ref_id"), F.col("rental_month_id").alias("sp_month"))
+    months = tables["mongo_rental_months"].select(F.col("_id").alias("sp_month"))
+    totals = [f"{n}_total" for n in children]
+    return (refs.join(per_data, "ref_id", "left").join(months, "sp_month")
+            .groupBy("sp_month").agg(*[F.sum(t).alias(t) for t in totals]))
 
 
 def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True) -> DataFrame:
@@ -144,18 +125,20 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     interests = (tables["mongo_interest_historics"].groupBy(F.col("rental_month_id").alias("ih_month"))
                  .agg(F.sum("interests").alias("interests_amount")))
 
-    j = (months.join(rents, F.col("r__id") == months.rent_id, "inner")
-               .join(users, F.col("u__id") == F.col("r_user_id"), "left")
-               .join(homes, F.col("h__id") == F.col("r_home_id"), "left")
-               .join(owners, F.col("o__id") == F.col("h_owner_id"), "left")
-               .join(owner_users, F.col("ou__id") == F.col("o_user_id"), "left")
-               .join(refs, F.col("pr_rental_month_id") == months._id, "left")
+    # The rent's side is built once per rent; the months gather what hangs on
+    # their own key first and then meet it: two shuffles of the months.
+    rent_side = (rents.join(users, F.col("u__id") == F.col("r_user_id"), "left")
+                      .join(homes, F.col("h__id") == F.col("r_home_id"), "left")
+                      .join(owners, F.col("o__id") == F.col("h_owner_id"), "left")
+                      .join(owner_users, F.col("ou__id") == F.col("o_user_id"), "left"))
+    j = (months.join(refs, F.col("pr_rental_month_id") == months._id, "left")
                .join(pays, F.col("rp_month") == months._id, "left")
                .join(srpago, F.col("sp_month") == months._id, "left")
                .join(advisor, F.col("ad_rental_month_id") == months._id, "left")
                .join(owner_d, F.col("od_rental_month_id") == months._id, "left")
                .join(other, F.col("xd_rental_month_id") == months._id, "left")
-               .join(interests, F.col("ih_month") == months._id, "left"))
+               .join(interests, F.col("ih_month") == months._id, "left")
+               .join(rent_side, F.col("r__id") == months.rent_id, "inner"))
 
     charge = months._charge_type
     first = charge == "first_payment"

@@ -318,10 +318,12 @@ def sort_desc_nulls(spark, sf):
     o = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("rent_id"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("created_at"))
-    # numbered inside day buckets (monotone in the sort order), offset by the
-    # sizes of earlier days: no task ever sorts more than a day of rows
+    # numbered inside buckets that sort like the order (year, then month, or
+    # ranges of the rent id among the rows without a date), offset by the sizes
+    # of the earlier buckets
+    no_date = F.when(F.col("created_at").isNull(), F.floor(F.col("rent_id") / 1000))
     ranked = number_rows(o, [], ["created_at"], tie_break=["rent_id"], name="sort_rank",
-                         bucket=F.to_date("created_at"), descending=True)
+                         bucket=[F.year("created_at"), F.month("created_at"), no_date], descending=True)
     return ranked.orderBy(F.col("created_at").desc_nulls_first(), F.col("rent_id").desc())
 
 
@@ -336,7 +338,9 @@ def sort_expression(spark, sf):
     j = (s.join(first, s.s_suppkey == first.l_suppkey, "left")
           .select(F.col("s_suppkey").alias("supplier_id"), to_local("first_ship").alias("registered_local")))
     ranked = number_rows(j, [], ["registered_local"], tie_break=["supplier_id"], name="sort_rank",
-                         bucket=F.to_date("registered_local"), descending=True)
+                         bucket=[F.year("registered_local"), F.month("registered_local"),
+                                 F.when(F.col("registered_local").isNull(), F.floor(F.col("supplier_id") / 1000))],
+                         descending=True)
     return ranked.orderBy(F.col("registered_local").desc_nulls_first(), F.col("supplier_id").desc())
 
 
@@ -360,8 +364,8 @@ def sort_multi_case(spark, sf):
                  F.col("o_orderstatus").alias("status"), bucket_txt.alias("fee_bucket"),
                  F.col("o_totalprice").alias("price"))
     keys = ["y", "m", "status", "fee_bucket", "price"]
-    # buckets = the leading sort keys and a price band: together they sort
-    # like the full order, and no bucket holds more than one band of prices
-    bucket = ["y", "m", "status", "fee_bucket", F.floor(F.col("price") / 1000)]
+    # buckets = the leading sort keys and a wide price band: together they sort
+    # like the full order
+    bucket = ["y", "m", "status", "fee_bucket", F.floor(F.col("price") / 100000)]
     ranked = number_rows(d, [], keys, tie_break=["rent_id"], name="sort_rank", bucket=bucket)
     return ranked.orderBy(*keys, "rent_id")

@@ -22,7 +22,7 @@ def rent_tree(spark, sf):
         F.col("o_orderkey").alias("rent_id"), F.col("o_custkey").alias("user_id"),
         F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("created_at"))
     t = with_previous(o, "user_id", ["created_at"], ["rent_id"], tie_break=["rent_id"],
-                      bucket=F.to_date("created_at"))
+                      bucket=F.floor(F.year("created_at") / 4))
     return t.withColumnRenamed("previous_rent_id", "parent_rent_id")
 
 
@@ -264,7 +264,7 @@ def join_key_ts(spark, sf):
     c, lo = table(spark, sf, "customer"), latest_order(spark, sf)
     o = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
     react = (reactivations(o, "o_custkey", "o_orderdate", min_gap=2, tie_break=["o_orderkey"],
-                           bucket=F.to_date("o_orderdate"))
+                           bucket=F.floor(F.year("o_orderdate") / 4))
              .select(F.col("o_custkey").alias("r_cust"), F.col("o_orderdate").alias("reactivated_at")))
     j = c.join(lo, lo.o_custkey == c.c_custkey, "left")
     j = j.join(react, (F.col("r_cust") == F.col("c_custkey")) & (F.col("reactivated_at") == F.col("o_orderdate")),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tablero.functions import as_of_lit, day_boundaries, first_match, split_part, to_local, yes_no
@@ -118,7 +120,7 @@ def reactivation_gap(spark, sf):
     pubs = (table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
             .select("o_custkey", "o_orderkey", "o_orderdate"))
     r = reactivations(pubs, "o_custkey", "o_orderdate", min_gap=2, tie_break=["o_orderkey"],
-                      bucket=F.to_date("o_orderdate"), prefix="prev_")
+                      bucket=F.floor(F.year("o_orderdate") / 4), prefix="prev_")
     return r.select(F.col("o_custkey").alias("home_id"), F.col("o_orderkey").alias("rent_id"),
                     F.col("o_orderdate").alias("reactivated_at"), F.col("prev_o_orderdate").alias("previous_at"),
                     boundary_gap_months("prev_o_orderdate", "o_orderdate").alias("gap"))
@@ -162,7 +164,11 @@ FROM latest WHERE rn = 1""")
 def previous_value_at_latest(spark, sf):
     log = status_log(spark, sf)
     local = to_local("created_at")
-    window = (F.col("value").isNotNull() & (local >= F.lit("2024-01-05").cast("timestamp_ntz"))
+    # the raw bounds, a day wider than any zone's offset, reach the scan
+    window = (F.col("home_id").isNotNull() & F.col("value").isNotNull()
+              & (F.col("created_at") >= F.lit("2024-01-04").cast("timestamp_ntz"))
+              & (F.col("created_at") <= as_of_lit(EVENTS_AS_OF + dt.timedelta(days=1)))
+              & (local >= F.lit("2024-01-05").cast("timestamp_ntz"))
               & (local <= as_of_lit(EVENTS_AS_OF)))
     priced = with_previous(log.filter(window), "home_id", ["created_at"], ["value"], tie_break=["log_id"],
                            bucket=DAY("created_at"))
