@@ -27,14 +27,14 @@ def test_scores_are_gaussian_posteriors(spark):
 
 
 def test_odd_inputs(spark):
-    docs = spark.createDataFrame([(1, None, "c", 0), (1, "", "c", 0), (None, "a b", "c", 0), (5, "word " * 30000, "c", 0)], SCHEMA)
+    docs = spark.createDataFrame([(1, None, "c", 0), (1, "", "c", 0), (None, "a b", "c", 0), (7, "word " * 30000, "c", 0)], SCHEMA)
     stats = docs.select("doc_id", statistics_of("text").alias("x"))
     assert [len(r.x) for r in stats.collect()] == [N_STATISTICS] * 4
     assert np.isfinite(statistics("")).all()
     none = spark.createDataFrame([], "doc_id long, quality int")
     model = fit(labelled(stats, none))
     assert {r.s for r in stats.select(model.column("x").alias("s")).collect()} == {0.5}
-    one = spark.createDataFrame([(5, 1), (5, 1), (None, 0), (5, None), (5, 7)], "doc_id long, quality int")
+    one = spark.createDataFrame([(7, 1), (7, 1), (None, 0), (7, None), (7, 7)], "doc_id long, quality int")
     assert fit(labelled(stats, one)).share == 1.0
     empty = docs.filter("false").select("doc_id", statistics_of("text").alias("x"))
     assert empty.select(model.column("x")).count() == 0
