@@ -25,6 +25,7 @@ from tablero.llm._common import texts_of
 
 SYMBOLS = b"#*$%&|<>"
 _WIDE = bytes(range(128, 192))  # bytes that go on a character
+_MIX = 0x9E3779B97F4A7C15  # spreads word numbers over 64 bits
 _LETTERS = bytes(range(65, 91)), bytes(range(97, 123))
 
 
@@ -69,7 +70,7 @@ class Page:
         coded = np.array([ids.setdefault(w, len(ids)) for w in words], np.uint64)
         if len(ids) == len(words):
             return 0
-        mixed = (coded + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (coded + np.uint64(1)) * np.uint64(_MIX)
         mixed ^= mixed >> np.uint64(29)
         h = np.zeros(n, np.uint64)
         for j in range(width):

@@ -72,7 +72,8 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     item = item.withColumns({"n": F.size("w"), "k": F.least(F.size("w"), F.lit(shingle))}).distinct()
     item = scratch.cut(item, "items")
     lengths = sorted(r.k for r in item.select("k").distinct().collect())  # at most ``shingle`` numbers
-    texts = docs.select(text_key(F.col(text)).alias("tk"), words(F.col(text)).alias("w"))
+    raw = docs.select(text_key(F.col(text)).alias("tk"), F.col(text).alias("raw"))
+    texts = raw.select("tk", words(F.col("raw")).alias("w"))
 
     hits = None
     for k in lengths:
@@ -89,7 +90,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     wins = runs.select("tk", "n", F.greatest(F.lit(0), F.least(F.col("pos"), F.col("total") - F.col("n"))).alias("start")).distinct()
     wins = scratch.cut(wins.groupBy("tk").agg(F.collect_list(F.struct("n", "start")).alias("wins")), "windows")  # within a text's length
 
-    cut = texts.join(wins, "tk").select("tk", "w", F.explode("wins").alias("win"))
+    cut = raw.join(wins, "tk").select("tk", words(F.col("raw")).alias("w"), F.explode("wins").alias("win"))
     cut = cut.select("tk", "win.n", "win.start", F.slice("w", F.col("win.start") + 1, F.col("win.n")).alias("w")).dropDuplicates(["tk", "n", "start"])
     key = ["tk", "n", "start"]
     own = cut.select(*key, F.explode(_shingles(F.col("w"), F.least(F.col("n"), F.lit(shingle)))).alias("s"))

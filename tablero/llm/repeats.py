@@ -346,6 +346,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 400, ancho
     anchors = scratch.cut(texts.filter(size >= length).mapInArrow(_anchor_rows(length, k), ANCHORS), "anchors")
     place = F.xxhash64("tk", "lo")
     seen_twice = anchors.groupBy("g").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a < b").select("g")
+    seen_twice = scratch.cut(seen_twice, "seen_twice")  # so that the join below may split a frequent anchor
     shared = scratch.cut(anchors.join(seen_twice, "g", "left_semi"), "shared")
     scratch.drop("anchors")
 

@@ -65,9 +65,6 @@ def test_empty_table(spark):
 
 def test_repeats_survive_hash_ties(monkeypatch):
     """Equal hashes are only candidates: windows are compared word by word."""
-    import numpy as np
-
-    import tablero.llm.cascade as cascade
-    monkeypatch.setattr(cascade.np, "uint64", lambda x=0: np.int64(0) if x > 10**6 else np.int64(x))
-    words = [f"w{i % 37}" for i in range(60)]
-    assert Page(" ".join(words).encode()).n_repeat_words == brute(" ".join(words))[4]
+    monkeypatch.setattr("tablero.llm.cascade._MIX", 0)
+    for text in fixture()[7:]:
+        assert Page(text.encode()).n_repeat_words == brute(text)[4]
