@@ -106,7 +106,7 @@ def _shouting(p: Page) -> bool:
 RULES: dict[str, Callable[[Page], bool]] = {
     "word_length": lambda p: not 2 * len(p.words) <= p.word_chars <= 15 * len(p.words),
     "symbols": lambda p: 10 * p.n_symbols > len(p.words),
-    "duplicate_lines": lambda p: 10 * p.n_dup_lines > 3 * len(p.lines),
+    "duplicate_lines": lambda p: 2 * p.n_dup_lines > len(p.lines),
     "echoes": lambda p: 5 * p.n_echoes > len(p.words),
     "shouting": _shouting,
 }

@@ -230,7 +230,8 @@ def fit(docs: DataFrame, text: str = "text", sample: int = 500, ratio: float = 1
     values = {}
     for kind in (*KINDS, "other"):
         values[kind] = [r.value for r in found.filter(F.col("kind") == kind).orderBy("h", "value").limit(sample).collect()]
-    return Formats([infer(values[k]) for k in KINDS if values.get(k)], infer(values["other"]) if values.get("other") else None, ratio)
+    # a credential may hold no symbol that its automaton has not seen; an ordinary token may
+    return Formats([infer(values[k], smooth=1e-30) for k in KINDS if values.get(k)], infer(values["other"]) if values.get("other") else None, ratio)
 
 
 def redact(docs: DataFrame, formats: Formats, text: str = "text", mark: str = "[secret]") -> DataFrame:

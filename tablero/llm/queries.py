@@ -126,7 +126,7 @@ b AS (SELECT w.doc_id, t, len(w)::BIGINT AS n_words, coalesce(list_sum(list_tran
              len(ls) AS n_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(echoes, 0) AS echoes
       FROM w LEFT JOIN p ON p.doc_id = w.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+       NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
             OR 5 * echoes > n_words OR length(regexp_replace(t, '[^A-Z]', '', 'g')) > length(regexp_replace(t, '[^a-z]', '', 'g'))) AS kept
 FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
 """,
