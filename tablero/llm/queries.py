@@ -90,9 +90,9 @@ def op9_inferred_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = "</s>[INST] ok [/INST]"
-    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(
-        spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"))
+    added = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') "
+                      "AS t(conv_id, turn, role, text)")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     node = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
     chain = turns.select("conv_id", node.alias("node"), "role", "text").withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1))
     out = chat.format_trees(chain, top=None)
