@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablero.functions import yes_no
-from tablero.operators import (latest_per_key, lookup, members, population, reactivations,
+from tablero.operators import (duplicate_keys, latest_per_key, lookup, members, population, reactivations,
                                role_pivot, rollup_ancestors, slot_join, with_previous)
 from tablero.plans.standins.common import months, query, table
 
@@ -327,3 +327,13 @@ def union_distinct(spark, sf):
     c = table(spark, sf, "customer").select(F.nullif("c_custkey", F.lit(0)).alias("k"))
     return population((table(spark, sf, "events"), "user_id"), (table(spark, sf, "orders"), "o_custkey"),
                       (c, "k"), name="user_id")
+
+
+@query("duplicate_keys", """
+SELECT l_orderkey AS rent_id, l_suppkey AS owner_id, l_linenumber AS line
+FROM lineitem WHERE (l_orderkey, l_suppkey) IN (SELECT (l_orderkey, l_suppkey) FROM lineitem
+                                                GROUP BY l_orderkey, l_suppkey HAVING count(*) > 1)""")
+def duplicate_keys_q(spark, sf):
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("rent_id"), F.col("l_suppkey").alias("owner_id"),
+                                             F.col("l_linenumber").alias("line"))
+    return duplicate_keys(li, ["rent_id", "owner_id"])

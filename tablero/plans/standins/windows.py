@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tablero.functions import as_of_lit, day_boundaries, first_match, split_part, to_local, yes_no
 from tablero.operators import (any_one_per_key, entered, first_and_last, first_per_key, latest_per_key,
-                               lookup, moved, reactivations, transition_summary, with_previous)
+                               lookup, moved, reactivations, transition_summary, transitions, with_previous)
 from tablero.operators.history import boundary_gap_months
 from tablero.plans.standins.common import (EVENTS_AS_OF, STATUS_LOG_SQL, loc, months, query, status_log,
                                            table, ts_lit)
@@ -59,7 +59,10 @@ def prev_state(spark, sf):
 WITH {HISTORY_SQL}, {PUBLISHED_SQL}
 SELECT home_id, log_id, published_at, changed_by_id FROM published""")
 def transition_into(spark, sf):
-    return _published(spark, sf)
+    into = transitions(status_log(spark, sf), "home_id", ["created_at"], "status",
+                       lambda now, before: entered(now, before, ["published"]), tie_break=["log_id"],
+                       bucket=DAY("created_at"))
+    return into.select("home_id", "log_id", to_local("created_at").alias("published_at"), "changed_by_id")
 
 
 @query("transition_from_to", f"""

@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tablero.operators import (entered, first_per_key, latest_per_key, moved, transition_summary,
+from tablero.operators import (entered, first_per_key, latest_per_key, moved, number_rows, transition_summary,
                                with_previous)
 
 SF = "/root/testdata/sf0.001"
@@ -75,3 +75,14 @@ def test_log_windows_are_split_by_day(spark):
             if "Window [" in line and "_wp_" in line and "lag(" in line:
                 spec = line.split("windowspecdefinition(")[1]
                 assert "_wp_bn0" in spec and "_wp_bv0" in spec, f"{name}: {line[:200]}"
+
+
+def test_rows_without_an_order_value_are_shared(spark):
+    """A third of the order values is NULL: ranges of the id split them, and the rank is the plain one."""
+    d = spark.range(9000).select(F.col("id"), F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("v"))
+    bucket = [F.floor(F.col("v") / 10), F.when(F.col("v").isNull(), F.floor(F.col("id") / 1000))]
+    got = number_rows(d, [], ["v"], tie_break=["id"], name="n", bucket=bucket, descending=True)
+    want = {r.id: n for n, r in enumerate(sorted(d.collect(), key=lambda r: (r.v is None, r.v or 0, r.id), reverse=True), 1)}
+    assert {r.id: r.n for r in got.collect()} == want
+    tasks = {r.p for r in got.filter("v is null").select(F.spark_partition_id().alias("p")).collect()}
+    assert len(tasks) >= 4
