@@ -11,6 +11,7 @@ Null texts count as empty (no tokens). Rows with equal texts share one count.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from importlib.metadata import version
@@ -38,7 +39,44 @@ def _counter(vocabulary: bytes, library: str):
     model = Tokenizer.from_str(vocabulary.decode())
     model.no_truncation()
     model.no_padding()
-    return lambda texts: [len(e) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def whole(texts: list[str]) -> list[int]:
+        return [len(e) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+    return _by_pieces(whole) if _splits_at_spaces(model) else whole
+
+
+#: A space between two visible characters: no byte-level BPE token crosses it from the left.
+_SPACE = re.compile("(?<=[!-~\u00c0-\u024f]) (?=[!-~\u00c0-\u024f])")
+
+
+def _splits_at_spaces(model) -> bool:
+    """The byte-level pre-tokenizer starts a new token at a space between two
+    visible characters, unless a normalizer or an added token interferes."""
+    rule = str(model.pre_tokenizer)
+    added = model.get_added_tokens_decoder().values()
+    return (model.normalizer is None and rule.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in rule
+            and not any(a.lstrip or a.rstrip or a.single_word or " " in a.content for a in added))
+
+
+def _by_pieces(whole, most: int = 1 << 20, longest: int = 64):
+    """Counts of texts as sums over their pieces between such spaces, each piece
+    encoded by the library once and remembered (``most`` of them)."""
+    known: dict[str, int] = {}
+
+    def count(texts: list[str]) -> list[int]:
+        pieces = [_SPACE.split(t) for t in texts]
+        missing = list(set().union(*(p[1:] for p in pieces)) - known.keys())
+        known.update(zip(missing, whole([" " + p for p in missing])))
+        first = whole([p[0] for p in pieces])
+        out = [a + sum(map(known.__getitem__, p[1:])) for a, p in zip(first, pieces)]
+        if len(known) > most:
+            known.clear()
+        else:
+            for p in missing:
+                if len(p) > longest:
+                    del known[p]
+        return out
+    return count
 
 
 def tokenizer_version(vocabulary: bytes, library: str) -> str:

@@ -1,11 +1,13 @@
 """Token counts: the library's own counts, distinct misses, a cache that fills."""
 
+import random
+
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from tablero.llm.queries import op4_digest_token_counts
-from tablero.llm.tokens import count_tokens
+from tablero.llm.tokens import _counter, count_tokens
 
 SCHEMA = "doc_id long, text string, content string, n int"
 
@@ -32,6 +34,18 @@ def test_counts_and_cache(spark, tmp_path, name):
     assert spark.read.parquet(cache).count() == stored + 1  # only the miss
 
 
+def test_pieces_count_like_whole_texts():
+    """Spaces of all kinds, contractions and special strings: the pieces' counts add up to the library's."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        count = _counter(f.read(), "tokenizers")
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(5)
+    parts = ["a", "it's", "'s", "é", "ß", "日本", "123", "--", " ", "  ", "\n", "\t", "\u3000", "\u180e", "\x85", "<|endoftext|>", "😀", "longer", "x" * 70]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    for _ in range(2):  # then from memory
+        assert count(texts) == [len(model.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_empty_table_and_versions(spark, tmp_path):
     docs, cache = spark.createDataFrame([], SCHEMA), str(tmp_path / "cache")
     assert count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), cache).count() == 0
