@@ -91,7 +91,8 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     wins = scratch.cut(wins.groupBy("tk").agg(F.collect_list(F.struct("n", "start")).alias("wins")), "windows")  # within a text's length
 
     cut = raw.join(wins, "tk").select("tk", words(F.col("raw")).alias("w"), F.explode("wins").alias("win"))
-    cut = cut.select("tk", "win.n", "win.start", F.slice("w", F.col("win.start") + 1, F.col("win.n")).alias("w")).dropDuplicates(["tk", "n", "start"])
+    cut = cut.select("tk", "win.n", "win.start", F.slice("w", F.col("win.start") + 1, F.col("win.n")).alias("w"))
+    cut = scratch.cut(cut, "window_words").dropDuplicates(["tk", "n", "start"])  # written first, so that the join may split frequent texts
     key = ["tk", "n", "start"]
     own = cut.select(*key, F.explode(_shingles(F.col("w"), F.least(F.col("n"), F.lit(shingle)))).alias("s"))
     own = scratch.cut(own.groupBy(*key, "s").agg(F.count(F.lit(1)).alias("c")), "window_shingles")
@@ -106,7 +107,8 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     entered = entered.select("item", "n", "item_fp", "b.place", "b.value", F.explode(near).alias("flip"))
     entered = entered.select("item", "n", "item_fp", "place", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
     probes = prints.select(*key, "fp", F.explode(mine).alias("b")).select(*key, "fp", "b.place", "b.value")
-    pairs = probes.join(entered, ["n", "place", "value"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
+    # the variants are many more rows than Spark expects of the items: never broadcast
+    pairs = probes.join(entered.hint("merge"), ["n", "place", "value"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
     pairs = pairs.select(*key, "item").distinct()
 
     shared = (pairs.join(own, key).join(theirs.select("item", "s", F.col("c").alias("d")), ["item", "s"])
