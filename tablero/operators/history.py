@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablero.functions.time import month_boundaries, year_boundaries
-from tablero.operators._cols import ColumnOrName, as_list, col, colname, null_safe_keys, order_key
+from tablero.operators._cols import ColumnOrName, as_list, col, colname, null_safe_keys
 
 
 def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequence[str],
@@ -19,10 +19,13 @@ def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequ
 
     ``bucket`` splits hot keys: give a column (or several, compared in turn)
     monotone in ``order`` (for a log, the day of its timestamp). The LAG is
-    then taken inside each (key, bucket); the first row of a bucket takes the
-    last row of the key's previous non-empty bucket, looked up in a frame with
-    one row per (key, bucket). A key with a third of all rows then occupies as
-    many tasks as it has buckets instead of one.
+    then taken inside each (key, bucket). A bucket's first row takes the last
+    row of the key's previous non-empty bucket in a second window, where only
+    the first and last rows of the buckets meet per key and all other rows
+    stay with their bucket. A key with a third of all rows then occupies as
+    many tasks as it has buckets instead of one; the input is read once and
+    shuffled twice. The bucket must hold many rows: buckets of about one row
+    cost the second shuffle and protect nothing.
     """
     keys = as_list(keys)
     cols = list(cols)
@@ -38,19 +41,16 @@ def with_previous(df: DataFrame, keys, order: Sequence[ColumnOrName], cols: Sequ
     d, bcols = null_safe_keys(d, [f"_wp_bucket{i}" for i in range(len(buckets))], "_wp_b")
     w_in = Window.partitionBy(*kcols, *bcols).orderBy(*specs)
     inner = d.select("*", F.row_number().over(w_in).alias("_wp_rn"),
+                     F.lead(F.lit(1), 1).over(w_in).isNull().alias("_wp_last"),
                      *[F.lag(colname(c), 1).over(w_in).alias(f"_wp_lag{i}") for i, c in enumerate(cols)])
-    # Each bucket's last row, aggregated from the input and combined map-side:
-    # what crosses the network is one small row per (key, bucket) and task,
-    # not a second shuffle of the rows.
-    last = (d.groupBy(*kcols, *bcols)
-              .agg(F.max_by(F.struct(*[colname(c) for c in cols]), order_key(full_order)).alias("_wp_last")))
+    edge = (F.col("_wp_rn") == 1) | F.col("_wp_last")
+    inner = inner.withColumn("_wp_edge", edge)
+    own = [F.when(~F.col("_wp_edge"), F.col(c)) for c in bcols]
     # bucket order: the NULL flag first (FALSE < TRUE puts a NULL bucket last), then the value
-    wb = Window.partitionBy(*kcols).orderBy(*[F.col(c).asc() for c in bcols])
-    prev_bucket = last.select(*kcols, *bcols, F.lag("_wp_last", 1).over(wb).alias("_wp_prev"))
-    joined = inner.join(prev_bucket, on=kcols + bcols, how="left")
-    return joined.select(
+    w_key = Window.partitionBy(*kcols, "_wp_edge", *own).orderBy(*[F.col(c).asc() for c in bcols], *specs)
+    return inner.select(
         *[colname(c) for c in df.columns],
-        *[F.when(F.col("_wp_rn") == 1, F.col("_wp_prev").getField(c))
+        *[F.when(F.col("_wp_rn") == 1, F.lag(colname(c), 1).over(w_key))
            .otherwise(F.col(f"_wp_lag{i}")).alias(prefix + c) for i, c in enumerate(cols)])
 
 

@@ -26,6 +26,9 @@ SHIP_AT = f"(l_shipdate + {SHIFT})"
 # the event log spans a month; as a home's status log it is spread over some 14
 LOG_AT = "(ts - INTERVAL 1 DAY * CAST(event_id % 400 AS INT))"
 MONTH_KEY = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
+# a month's surrogate id; some months have one value in both keys, which is what
+# the interest history of the active rents is matched on
+MONTH_ID = f"CASE WHEN l_linenumber > 3 THEN 'M' ELSE 's' END || {MONTH_KEY}"
 # Engine-specific spellings: (Spark, DuckDB).
 SHIP_MONTH = (f"lower(date_format({SHIP_AT}, 'MMMM'))", f"lower(strftime({SHIP_AT}, '%B'))")
 PRIORITY_NO = "CAST(substr(o_orderpriority, 1, 1) AS INT)"
@@ -35,7 +38,7 @@ PRIORITY_NO = "CAST(substr(o_orderpriority, 1, 1) AS INT)"
 SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
     "mongo_users": [("customer", None, {
         "id": "'s' || c_custkey", "_id": "'U' || c_custkey",
-        "name": "lower(split_part(c_name, '#', 1))", "last_name": "lower(c_mktsegment)",
+        "name": "lower(split_part(c_name, '#', 1)) || ' ' || c_nationkey", "last_name": "lower(c_mktsegment)",
         "second_last_name": "CASE WHEN c_acctbal < 0 THEN NULL ELSE split_part(c_name, '#', 2) END",
         "email": "'u' || c_custkey || '@mail.test'", "mobile_phone": "'55' || c_custkey",
         "phone": "CASE WHEN c_acctbal > 5000 THEN '56' || c_custkey END",
@@ -94,7 +97,7 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "visits": "p_size", "bedrooms": "CAST(floor(p_size / 10) AS INT)",
         "parkings": "CASE WHEN p_size > 45 THEN NULL ELSE CAST(floor(p_size / 20) AS INT) END",
         "payment_day": "p_size", "bathrooms": "CAST(p_size AS DOUBLE) / 20", "sqare_mts": "p_retailprice / 10",
-        "created_at": "TIMESTAMP '2023-06-01 00:00:00'",
+        "created_at": "TIMESTAMP '2023-06-01 00:00:00' - INTERVAL 1 DAY * CAST(p_size AS INT)",
         "available_again_from": "CASE WHEN p_size > 40 THEN TIMESTAMP '2024-03-01 12:00:00' "
                                 "WHEN p_size > 30 THEN TIMESTAMP '2024-01-10 00:00:00' END",
     })],
@@ -145,7 +148,9 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "rent_price": "CAST(o_totalprice AS DECIMAL(18,2))",
         "deposit_amount": "CAST(o_totalprice AS DECIMAL(18,2)) * 2",
         "risk_guarantee": "CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(18,2)) END",
-        "homie_first_fee": "CAST(0.5 AS DECIMAL(18,4))", "homie_monthly_fee": "CAST(0.09 AS DECIMAL(18,4))",
+        "homie_first_fee": "CASE WHEN o_orderstatus = 'F' THEN CAST(0.5 AS DECIMAL(18,4)) ELSE CAST(0.25 AS DECIMAL(18,4)) END",
+        "homie_monthly_fee": "CASE WHEN o_orderstatus = 'O' THEN CAST(0.05 AS DECIMAL(18,4)) "
+                             "ELSE CAST(0.09 AS DECIMAL(18,4)) END",
         "deposit_months_warranty": PRIORITY_NO, "months_to_pay_deposit": PRIORITY_NO + " - 1",
         "is_no_deposit": "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority = '4-NOT SPECIFIED' END",
         "allow_monthly_owner_deposit_payment": "o_orderstatus != 'F'",
@@ -161,7 +166,7 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "started_at": f"{ORDER_AT} + INTERVAL 30 DAY", "ends_at": f"{ORDER_AT} + INTERVAL 395 DAY",
     })],
     "mongo_rental_months": [("lineitem", None, {
-        "id": f"'s' || {MONTH_KEY}", "_id": f"'M' || {MONTH_KEY}", "rent_id": "'R' || l_orderkey",
+        "id": MONTH_ID, "_id": f"'M' || {MONTH_KEY}", "rent_id": "'R' || l_orderkey",
         "month": SHIP_MONTH, "year": f"CAST(year({SHIP_AT}) AS STRING)",
         "_charge_type": "CASE WHEN l_linenumber = 1 THEN 'advance' WHEN l_linenumber = 2 THEN 'first_payment' "
                         "ELSE 'rent_pay' END",
@@ -174,7 +179,7 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "due_date": SHIP_AT, "created_at": f"{SHIP_AT} - INTERVAL 5 DAY",
     })],
     "mongo_rental_months_payment_method_fee": [("lineitem", "l_returnflag = 'A'", {
-        "mongo_rental_months_id": f"'s' || {MONTH_KEY}",
+        "mongo_rental_months_id": MONTH_ID,
         "_config_type": "CASE WHEN l_linenumber > 4 THEN 'homie_only_receive_fee' ELSE 'standard' END",
     })],
     "mongo_rental_payments": [("lineitem", None, {
@@ -226,8 +231,7 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "amount": "CAST(l_quantity AS DECIMAL(18,2)) + 1",
     })],
     "mongo_interest_historics": [("lineitem", None, {
-        # the history is matched on the months' surrogate id by one report and on the business key by another
-        "rental_month_id": f"CASE WHEN l_linenumber > 3 THEN 'M' ELSE 's' END || {MONTH_KEY}",
+        "rental_month_id": f"'M' || {MONTH_KEY}",
         "interests": "CASE WHEN l_tax = 0 THEN NULL ELSE CAST(l_quantity AS DECIMAL(18,2)) - 25 END",
         "created_at": SHIP_AT,
     })],
@@ -307,14 +311,14 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
     })],
     "postgres_tags": [("part", None, {"id": "p_partkey", "name": "p_name"})],
     "postgres_users": [("customer", None, {
-        "id": "c_custkey", "name": "lower(split_part(c_name, '#', 1))", "last_name": "lower(c_mktsegment)",
+        "id": "c_custkey", "name": "lower(split_part(c_name, '#', 1)) || ' ' || c_nationkey", "last_name": "lower(c_mktsegment)",
         "mother_last_name": "CASE WHEN c_acctbal < 0 THEN NULL ELSE 'n' || c_nationkey END",
         "email": "'c' || c_custkey || '@mail.test'",
     })],
     "postgres_countries": [("nation", None, {"id": "n_nationkey", "name": "n_name"})],
     "webscraping.postgres_rents": [("part", None, {
         "id": "'W' || p_partkey", "site": "p_brand", "url": "'https://w.test/' || p_partkey",
-        "state": "CASE WHEN p_size = 1 THEN NULL ELSE 'CDMX' END",
+        "state": "CASE WHEN p_size = 1 THEN NULL WHEN p_size < 30 THEN 'CDMX' ELSE 'Puebla' END",
         "city": "CASE WHEN p_size = 2 THEN NULL ELSE p_type END", "neighborhood": "p_brand",
         "antiquity": "CAST(p_size AS STRING)", "post_age": "'hace ' || p_size || ' dias'",
         "date_in": "TIMESTAMP '2023-01-01 00:00:00' + INTERVAL 1 DAY * CAST(p_partkey % 97 AS INT)", "price": "CAST(p_retailprice AS DECIMAL(18,2))",
@@ -322,7 +326,7 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
         "covered_area": "p_retailprice / 10", "land_area": "CAST(p_size AS DOUBLE)",
         "latitude": "CASE WHEN p_size = 3 THEN NULL ELSE CAST(p_size - 25 AS DOUBLE) * 4 END",
         "longitude": "(p_retailprice - 1000) / 2", "rooms": "CAST(floor(p_size / 10) AS INT)",
-        "bathrooms": "CAST(floor(p_size / 20) AS INT)", "parking": "p_size", "half_bathrooms": "1",
+        "bathrooms": "CAST(floor(p_size / 20) AS INT)", "parking": "p_size", "half_bathrooms": "p_size % 2",
     })],
     "webscraping.postgres_rents_response": [("part", "p_size > 4", {
         "postgres_rents_id": "'W' || p_partkey", "title": "p_name", "content": "p_type || ' ' || p_name",
@@ -334,16 +338,16 @@ SPEC: dict[str, list[tuple[str, str | None, dict]]] = {
     })],
     "webscraping.postgres_rents_i24": [("customer", None, {
         "id": "'I' || c_custkey", "url": "'https://i24.test/' || c_custkey",
-        "state": "CASE WHEN c_nationkey = 0 THEN NULL ELSE 'Jalisco' END", "city": "c_mktsegment",
-        "neighborhood": "'N' || c_nationkey", "antiquity": "'1'", "post_age": "'hoy'",
+        "state": "CASE WHEN c_nationkey = 0 THEN NULL WHEN c_nationkey < 9 THEN 'Colima' ELSE 'Jalisco' END", "city": "c_mktsegment",
+        "neighborhood": "'N' || c_nationkey", "antiquity": "CAST(c_nationkey AS STRING)", "post_age": "'hace ' || c_nationkey",
         "date_in": "CASE WHEN c_acctbal > 0 THEN TIMESTAMP '2023-02-01 00:00:00' "
                    "+ INTERVAL 1 DAY * CAST(c_custkey % 50 AS INT) END",
-        "price": "CAST(c_acctbal AS DECIMAL(18,2)) + 10000", "price_maintenance": "CAST(100 AS DECIMAL(18,2))",
+        "price": "CAST(c_acctbal AS DECIMAL(18,2)) + 10000", "price_maintenance": "CAST(c_nationkey AS DECIMAL(18,2)) * 100",
         "price_no_maint": "CAST(c_acctbal AS DECIMAL(18,2))", "covered_area": "c_acctbal / 100",
         "land_area": "CAST(c_nationkey AS DOUBLE)", "latitude": "CAST(c_nationkey * 5 - 20 AS DOUBLE)",
-        "longitude": "c_acctbal / 50", "rooms": "c_nationkey", "bathrooms": "1", "parking": "0",
-        "half_bathrooms": "0", "title": "c_name", "description": "'Depto ' || c_mktsegment",
-        "query_search": "'jalisco'",
+        "longitude": "c_acctbal / 50", "rooms": "c_nationkey", "bathrooms": "c_nationkey % 3 + 1", "parking": "c_nationkey % 2",
+        "half_bathrooms": "c_nationkey % 2", "title": "c_name", "description": "'Depto ' || c_mktsegment",
+        "query_search": "lower(c_mktsegment)",
     })],
     "webscraping.postgres_rents_i24_extra_features": [("orders", None, {
         "postgres_rents_i24_id": "'I' || o_custkey", "value": "lower(o_orderpriority)",
