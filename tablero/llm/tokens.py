@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablero.llm._common import fresh, local_env, slices, text_key, texts_of
+from tablero.llm._common import Scratch, fresh, local_env, slices, text_key, texts_of
 
 CACHE = "tokenizer string, content binary, n_tokens long"
 
@@ -123,7 +123,8 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, cache: str, text: str =
     misses = distinct.join(_stored(spark, cache, tokenizer).select("content"), "content", "left_anti")
     counted = misses.mapInArrow(_encode(spark.sparkContext.broadcast(vocabulary), library), "content binary, n_tokens long")
     counted.select(F.lit(tokenizer).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache)
-    counts = _stored(spark, cache, tokenizer)
+    # written once more, so that the join below may split the rows of a frequent text
+    counts = Scratch(spark, "tokens").cut(_stored(spark, cache, tokenizer), "counts")
     n = fresh([*docs.columns, key], "n")
     own = [c for c in docs.columns if c not in (text, "n_bytes", "n_tokens")]
     rows = docs.select(*own, F.octet_length(value).cast("long").alias("n_bytes"), text_key(F.col(text)).alias(key))
