@@ -389,7 +389,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 400, ancho
     cut = affected.select("tk", "text").join(per_text, "tk").select("tk", "text", "marks").mapInArrow(_cut_spans(length), SPANS)
     copies = texts.filter(size >= length).groupBy("tk").agg(F.count(F.lit(1)).alias("rows"), F.first(size).cast("int").alias("n")).filter("rows > 1")
     whole = copies.select("tk", F.array(F.struct(F.lit(0).alias("start"), F.col("n").alias("end"))).alias("spans"), F.lit(b"").alias("kept"))
-    return cut.dropDuplicates(["tk"]).join(copies.select("tk"), "tk", "left_anti").unionByName(whole)
+    # written, so that a join with the documents may split the rows of a frequent text
+    return scratch.cut(cut.dropDuplicates(["tk"]).join(copies.select("tk"), "tk", "left_anti").unionByName(whole), "spans")
 
 
 def removed_bytes(spans: Column) -> Column:
