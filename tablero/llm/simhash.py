@@ -219,7 +219,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     least = rows.groupBy("fp").agg(F.min("id").alias("least"))
     of = clusters(rows, radius, scratch, **how).join(least, "fp")
     smallest = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = of.join(smallest, "root").select("fp", "component_id")
+    of = scratch.cut(of.join(smallest, "root").select("fp", "component_id"), "components")  # the join below may then split frequent prints
     return rows.join(of, "fp").select(F.col("id").alias(doc_id), F.col("fp").alias("fingerprint"), "component_id")
 
 
