@@ -45,7 +45,7 @@ def targets(sizes: DataFrame, source: str, weights: tuple[int, ...] = (5, 2, 1),
 
 
 def mix(rows: DataFrame, doc_id: str = "doc_id", source: str = "source", size: str = "size", salt: str = "mix",
-        bucket_rows: int = 20000, **shares) -> DataFrame:
+        bucket_rows: int = 5000, **shares) -> DataFrame:
     """``rows`` with ``source_size``, ``target`` (of the row's source) and
     ``taken``: how much of the row's ``size`` the mix takes, repeats counted.
 
