@@ -12,7 +12,8 @@ all pairs within the radius. Each pair found is verified by the weighted Jaccard
 similarity of its shingle counts.
 
 Null texts count as empty; items without words find nothing; rows with equal
-texts are worked on once and reported each.
+texts are worked on once and reported each. Inside, an item is known by a digest
+of its words: item ids may be null or repeated, and are joined on at the end.
 """
 
 from __future__ import annotations
@@ -61,16 +62,20 @@ def _blocks(fp: Column, blocks: int) -> tuple[Column, int]:
                      for b in range(blocks))), width
 
 
-def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text",
-          shingle: int = 5, similarity: float = 0.8, radius: int = 19, blocks: int = 4) -> DataFrame:
-    """One row for each row of ``docs`` and item alike: the ids, ``similarity``
-    and ``start_word`` and ``n_words`` of the window most alike (of ties the
-    first). ``blocks`` must divide 64."""
+def _item_key(w: Column) -> Column:
+    """128-bit digest of an array of words; no word holds a space."""
+    return text_key(F.array_join(w, " "))
+
+
+def _alike(docs: DataFrame, items: DataFrame, text: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 19,
+           blocks: int = 4) -> DataFrame:
+    """One row for each text key of ``docs`` and item key alike: ``tk``, ``item``,
+    ``similarity``, ``start_word`` and ``n_words``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "leaks")
-    item = items.select(F.col(item_id).alias("item"), words(F.col(text)).alias("w")).filter(F.size("w") > 0)
-    item = item.withColumns({"n": F.size("w"), "k": F.least(F.size("w"), F.lit(shingle))}).distinct()
-    item = scratch.cut(item, "items")
+    item = items.select(words(F.col(text)).alias("w")).filter(F.size("w") > 0)
+    item = item.withColumns({"item": _item_key(F.col("w")), "n": F.size("w"), "k": F.least(F.size("w"), F.lit(shingle))})
+    item = scratch.cut(item.dropDuplicates(["item"]), "items")
     lengths = sorted(r.k for r in item.select("k").distinct().collect())  # at most ``shingle`` numbers
     raw = docs.select(text_key(F.col(text)).alias("tk"), F.col(text).alias("raw"))
     texts = raw.select("tk", words(F.col("raw")).alias("w"))
@@ -117,15 +122,28 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     alike = shared.join(prints.select(*key, "weight"), key).join(weight, "item").withColumn(
         "similarity", F.col("both") / (F.col("weight") + F.col("item_weight") - F.col("both"))).filter(F.col("similarity") >= similarity)
     best = alike.groupBy("tk", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n")).alias("best"))
-    best = scratch.cut(best.select("tk", "item", "best.similarity", (-F.col("best.back")).cast("long").alias("start_word"),
+    return scratch.cut(best.select("tk", "item", "best.similarity", (-F.col("best.back")).cast("long").alias("start_word"),
                                    F.col("best.n").cast("long").alias("n_words")), "best")
+
+
+def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text",
+          shingle: int = 5, similarity: float = 0.8, radius: int = 19, blocks: int = 4) -> DataFrame:
+    """One row for each row of ``docs`` and item alike: the ids, ``similarity``
+    and ``start_word`` and ``n_words`` of the window most alike (of ties the
+    first). ``blocks`` must divide 64.
+
+    Rows of ``items`` with equal id (null included) and equal words are one
+    item; other words under the same id are another item and give their own row."""
+    best = _alike(docs, items, text, shingle, similarity, radius, blocks)
+    ids = items.select(F.col(item_id).alias("id"), words(F.col(text)).alias("w")).filter(F.size("w") > 0)
+    ids = ids.select("id", _item_key(F.col("w")).alias("item")).distinct()
     rows = docs.select(F.col(doc_id).alias("doc"), text_key(F.col(text)).alias("tk"))
-    return rows.join(best, "tk").select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "similarity", "start_word", "n_words", "tk")
+    return rows.join(best.join(ids, "item"), "tk").select(F.col("doc").alias(doc_id), F.col("id").alias(item_id),
+                                                          "similarity", "start_word", "n_words", "tk")
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", **how) -> DataFrame:
     """``docs`` without the rows whose text holds an item."""
     key = fresh(docs.columns, "tk")
-    id_ = docs.columns[0]
-    found = leaks(docs, items, doc_id=id_, text=text, **how).select(F.col("tk").alias(key)).distinct()
+    found = _alike(docs, items, text, **how).select(F.col("tk").alias(key)).distinct()
     return docs.withColumn(key, text_key(F.col(text))).join(found, key, "left_anti").drop(key)

@@ -79,6 +79,19 @@ def test_empty_tables(spark):
     assert leaks(docs.limit(0), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")).count() == 0
 
 
+def test_repeated_and_null_item_ids(spark):
+    rng = random.Random(5)
+    a, b, c, d, e = (" ".join(f"{rng.choice('abcdefgh')}{rng.randrange(500)}" for _ in range(n)) for n in (30, 30, 45, 25, 40))
+    items = [(0, a), (0, b), (0, c), (0, c), (None, d), (None, e), (7, a)]
+    docs = [(k, f"before that {t} and after", "clash", 1) for k, t in enumerate([a, b, c, d, e])] + [(9, "nothing of these " * 20, "clash", 1)]
+    df = spark.createDataFrame(docs, SCHEMA)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(r.doc_id, r.item_id, r.similarity, r.start_word, r.n_words) for r in leaks(df, bench).collect()]
+    want = [(0, 0, 1.0, 2, 30), (0, 7, 1.0, 2, 30), (1, 0, 1.0, 2, 30), (2, 0, 1.0, 2, 45), (3, None, 1.0, 2, 25), (4, None, 1.0, 2, 40)]
+    assert sorted(rows, key=repr) == sorted(want, key=repr)
+    assert [r.doc_id for r in without_leaks(df, bench.select("text")).collect()] == [9]
+
+
 def test_query_against_every_window(spark):
     sf = "/root/testdata/sf0.01"
     def table(name, key):
