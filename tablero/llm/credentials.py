@@ -4,9 +4,10 @@ The credentials that the patterns label, and ordinary long tokens beside them,
 are samples of formats. From each sample a prefix tree over character classes
 is built, and states whose next symbols could come from one distribution (a
 Hoeffding test, on all their descendants too) are merged into a probabilistic
-automaton. Every token of ``MIN_TOKEN`` characters or more is then scored:
-where a credential's automaton beats the ordinary one by ``ratio`` nats, it is
-a span of kind ``format``.
+automaton. Every token of ``MIN_TOKEN`` characters or more that is not under
+the patterns' spans from end to end is then scored: where a credential's
+automaton beats the ordinary one by ``ratio`` nats, the whole token is a span
+of kind ``format``.
 
 Null texts count as empty. Offsets are code points, ends exclusive.
 """
@@ -60,6 +61,24 @@ def other_tokens(text: str, base: list[tuple[int, int, str, str]]) -> list[tuple
     return out
 
 
+def open_tokens(text: str, base: list[tuple[int, int, str, str]]) -> list[tuple[int, int]]:
+    """Tokens of which a character at least is under no base span."""
+    out, k = [], 0
+    runs: list[list[int]] = []  # base spans, those that touch as one
+    for a, b, *_ in base:
+        if runs and a <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], b)
+        else:
+            runs.append([a, b])
+    for m in _TOKEN.finditer(text):
+        a, b = m.span()
+        while k < len(runs) and runs[k][1] <= a:
+            k += 1
+        if k == len(runs) or a < runs[k][0] or runs[k][1] < b:
+            out.append((a, b))
+    return out
+
+
 # Character classes: digits, hex letters and other letters by case, and each mark by itself; others share one.
 _CLASSES = ["0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", *"+/_.=-"]
 N_SYMBOLS = len(_CLASSES) + 1
@@ -204,7 +223,7 @@ class Formats:
     def spans(self, texts: list[str]) -> list[list[tuple[int, int, str]]]:
         """For each text its base and added spans, by start, then kind."""
         base = [base_spans(t) for t in texts]
-        others = [other_tokens(t, b) for t, b in zip(texts, base)]
+        others = [open_tokens(t, b) for t, b in zip(texts, base)]
         likely = iter(self.likely([t[a:b] for t, o in zip(texts, others) for a, b in o]).tolist())
         rank = {k: i for i, k in enumerate((*KINDS, "format"))}
         return [sorted([(a, z, kind) for a, z, kind, _ in b] + [(a, z, "format") for a, z in o if next(likely)],

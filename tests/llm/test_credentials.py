@@ -7,7 +7,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from tablero.llm.credentials import Formats, base_spans, fit, infer, redact, symbols
+from tablero.llm.credentials import Formats, base_spans, fit, infer, open_tokens, redact, symbols
 from tablero.llm.queries import op9_inferred_secrets
 
 HEX = "0123456789abcdef"
@@ -57,6 +57,33 @@ def test_automata_generalise():
     assert Formats([], None, 1.0).likely(["x" * 20]).tolist() == [False]
 
 
+BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def credential(rng, n=40):
+    return "".join(rng.choice(BASE62) for _ in range(n))
+
+
+def test_open_tokens():
+    run = "0123456789abcdef"
+    for text, want in [(f"Zq{run}xY9k", [f"Zq{run}xY9k"]), (run, []), (f"{run}XYZ", [f"{run}XYZ"]), (f"XYZ{run}", [f"XYZ{run}"]),
+                       (f"{run}-{run}", [f"{run}-{run}"]), (f"token='{run}Q' {run} abcdefghijklm", ["abcdefghijklm"]), ("AKIA" + "B7" * 8 + "zz short", ["AKIA" + "B7" * 8 + "zz"])]:
+        assert [text[a:b] for a, b in open_tokens(text, base_spans(text))] == want, text
+
+
+def test_tokens_that_hold_a_base_span_are_judged_whole(spark):
+    rng = random.Random(21)
+    texts = [f"the internationalization of {''.join(rng.choice('aeioutrnsl') for _ in range(14))} password = \"{credential(rng)}\" here" for _ in range(300)]
+    bare = [credential(rng, 12) + "".join(rng.choice(HEX) for _ in range(17)) + credential(rng, 11) for _ in range(5)]
+    docs = spark.createDataFrame([(t,) for t in texts + [f"and {b} there" for b in bare]], "text string")
+    formats = fit(docs)
+    for b in bare:
+        spans = formats.spans([f"and {b} there"])[0]
+        assert (4, 4 + len(b), "format") in spans and any(k == "hex" for _, _, k in spans)
+    clean = {r.text for r in redact(docs, formats).collect()}
+    assert "and [secret] there" in clean and not any(b[:12] in t or b[-11:] in t for b in bare for t in clean)
+
+
 def test_scan_and_redaction(spark):
     texts = fixture()
     docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)] * 2, "doc_id long, text string, spans string")
