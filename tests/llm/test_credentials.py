@@ -84,6 +84,19 @@ def test_tokens_that_hold_a_base_span_are_judged_whole(spark):
     assert "and [secret] there" in clean and not any(b[:12] in t or b[-11:] in t for b in bare for t in clean)
 
 
+def test_fitted_formats_find_unlabelled_credentials(spark):
+    """The production defaults: unlabelled ones of a labelled format are spans, ordinary words are not."""
+    rng = random.Random(22)
+    words = ["".join(rng.choice("aeioutrnsl") for _ in range(rng.randrange(12, 20))) for _ in range(600)]
+    bare = [credential(rng) for _ in range(20)]
+    texts = [f"{a} and {b} secret: {credential(rng)}" for a, b in zip(words[::2], words[1::2])] + [f"{w} then {c} here" for w, c in zip(words, bare)]
+    formats = fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    found = {(t[a:b], k) for t, spans in zip(texts, formats.spans(texts)) for a, b, k in spans}
+    added = {x for x, k in found if k == "format"}
+    assert added == set(bare)
+    assert formats.likely([credential(rng) for _ in range(100)]).mean() > 0.95 and not formats.likely(words).any()
+
+
 def test_scan_and_redaction(spark):
     texts = fixture()
     docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)] * 2, "doc_id long, text string, spans string")
