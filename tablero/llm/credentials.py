@@ -30,6 +30,8 @@ from tablero.llm._common import Scratch, texts_of
 
 KINDS = ("assign", "access", "hex")
 MIN_TOKEN = 12
+#: Characters of a sampled string that the fit counts. The scan has no such limit.
+LONGEST = 256
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
@@ -120,19 +122,20 @@ class Automaton:
 
 
 def infer(strings: list[str], alpha: float = 0.05, smooth: float = 1e-3) -> Automaton:
-    """Merge statistically compatible states of the strings' prefix tree."""
+    """Merge statistically compatible states of the strings' prefix tree. A
+    string above ``LONGEST`` characters counts with so many, and with no end."""
     kids: list[dict[int, int]] = [{}]
     count: list[np.ndarray] = [np.zeros(N_SYMBOLS + 1)]  # by symbol; the last: ends here
     for s in strings:
         q = 0
-        for c in symbols(s).tolist():
+        for c in symbols(s[:LONGEST]).tolist():
             count[q][c] += 1
             if c not in kids[q]:
                 kids[q][c] = len(kids)
                 kids.append({})
                 count.append(np.zeros(N_SYMBOLS + 1))
             q = kids[q][c]
-        count[q][N_SYMBOLS] += 1
+        count[q][N_SYMBOLS] += len(s) <= LONGEST
     bound = np.sqrt(0.5 * np.log(2 / alpha))
 
     def alike(a: int, b: int) -> bool:
@@ -183,7 +186,8 @@ def infer(strings: list[str], alpha: float = 0.05, smooth: float = 1e-3) -> Auto
 def _samples(sample: int):
     """Labelled credentials, and of each document the ordinary token of least
     hash: of each kind a task's ``sample`` distinct strings of least hash, which
-    hold all of the table's that come from the task."""
+    hold all of the table's that come from the task. Of a string above
+    ``LONGEST`` characters its start is kept, one character more than ``LONGEST``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, set[tuple[int, str]]] = {k: set() for k in (*KINDS, "other")}
@@ -192,10 +196,11 @@ def _samples(sample: int):
                 text = raw.decode()
                 base = base_spans(text)
                 for _, _, kind, value in base:
-                    held[kind].add((xxhash.xxh64_intdigest(value, 7), value))
+                    held[kind].add((xxhash.xxh64_intdigest(value, 7), value[:LONGEST + 1]))
                 others = {text[a:b] for a, b in other_tokens(text, base)}
                 if others:
-                    held["other"].add(min((xxhash.xxh64_intdigest(t, 7), t) for t in others))
+                    h, least = min((xxhash.xxh64_intdigest(t, 7), t) for t in others)
+                    held["other"].add((h, least[:LONGEST + 1]))
             for kind in held:
                 held[kind] = set(sorted(held[kind])[:sample])
         rows = [(kind, value, h >> 1) for kind in held for h, value in sorted(held[kind])]
@@ -243,7 +248,8 @@ class Formats:
 def fit(docs: DataFrame, text: str = "text", sample: int = 500, ratio: float = 10.0) -> Formats:
     """Infer the formats from the credentials that the patterns label in all
     documents. Of each kind the ``sample`` distinct strings of least hash reach
-    the driver, of ordinary tokens as many."""
+    the driver, of ordinary tokens as many, of each its first ``LONGEST``
+    characters; scoring is over whole tokens of any length."""
     found = docs.select(F.col(text).alias("text")).mapInArrow(_samples(sample), "kind string, value string, h long").distinct()
     found = Scratch(docs.sparkSession, "credentials").cut(found, "samples")
     values = {}

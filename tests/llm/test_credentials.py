@@ -7,6 +7,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
+from tablero.llm import credentials
 from tablero.llm.credentials import Formats, base_spans, fit, infer, open_tokens, redact, symbols
 from tablero.llm.queries import op9_inferred_secrets
 
@@ -97,6 +98,21 @@ def test_fitted_formats_find_unlabelled_credentials(spark):
     assert formats.likely([credential(rng) for _ in range(100)]).mean() > 0.95 and not formats.likely(words).any()
 
 
+def test_very_long_strings_reach_the_driver_cut(spark, monkeypatch):
+    rng = random.Random(23)
+    long_hex, long_word = "".join(rng.choice(HEX) for _ in range(10**5)), "".join(rng.choice("ghijklm") for _ in range(10**5))
+    texts = [f"{long_hex} of", f"{long_word} of", *(f"{''.join(rng.choice(HEX) for _ in range(300 + i))} then {'xyz' * (5 + i)}" for i in range(40))]
+    got = []
+    monkeypatch.setattr(credentials, "infer", lambda strings, **how: got.append(strings) or infer(strings, **how))
+    formats = fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert [len(x) for x in got] == [41, 41] and max(len(v) for x in got for v in x) == credentials.LONGEST + 1
+    assert all(np.isfinite(m.logp).all() for m in [*formats.kinds, formats.other])
+    assert (0, 10**5, "hex") in formats.spans(texts)[0]
+    short = ["".join(rng.choice(HEX) for _ in range(40)) for _ in range(50)]
+    longer = infer(short + ["ab" * 10**5])
+    assert len(longer.step) < 200 and np.isfinite(longer.score([symbols("ab" * 500)])).all()
+
+
 def test_scan_and_redaction(spark):
     texts = fixture()
     docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)] * 2, "doc_id long, text string, spans string")
