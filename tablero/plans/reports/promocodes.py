@@ -32,23 +32,23 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     codes = tables["mongo_promotion_codes"]
     agencies = tables["mongo_agencies"].select(F.col("_id").alias("agency_key"), F.col("name").alias("agency_name"))
     logs = tables["mongo_promotion_code_logs"]
-    # Uses are numbered per code (promos sharing a code share one sequence), by
-    # use time; equal times are ordered by application then promo id. Only the
-    # narrow log is numbered; a use without a time is never printed.
-    log = (logs.filter(F.col("used_at").isNotNull())
-               .select(F.col("promotion_code_id").alias("use_promo"), "used_at", "home_application_id")
-               .join(codes.select(F.col("_id").alias("use_promo"), F.col("code").alias("use_code")), "use_promo"))
-    numbered = number_rows(log, "use_code", ["used_at"], tie_break=["home_application_id", "use_promo"], name="n",
-                           bucket=time_bucket("used_at", bucket_unit))
-    uses = numbered.select("use_promo", "n", F.concat(F.col("n").cast("string"), F.lit(".- "),
-                                                      to_local("used_at", tz).cast("string"), F.lit(", "),
-                                                      F.col("home_application_id")).alias("use"))
-    j = (codes.join(uses, F.col("use_promo") == codes._id, "left")
-              .join(agencies, F.col("agency_key") == codes.agency_id, "left"))
-    rows = j.select(
+    promos = codes.join(agencies, F.col("agency_key") == codes.agency_id, "left").select(
         codes.code, to_local(codes.created_at, tz).alias("created_at"), to_local(codes.due_date, tz).alias("due_date"),
         F.when(codes.agency_id.isNotNull(), F.col("agency_name")).otherwise(F.lit("homie")).alias("agency"),
         codes.is_used, F.when(is_true(codes.is_used), codes.used_times).otherwise(F.lit(0)).alias("used_times"),
-        "n", "use")
+        codes._id.alias("use_promo"))
+    # Uses are numbered per code (promos sharing a code share one sequence), by
+    # use time; equal times are ordered by application, promo id and columns. As
+    # in the source each pair of a use and a promotion row has its own number, so
+    # the pairs carry their promotion's columns and are not joined to it again;
+    # a use without a time is never printed.
+    pairs = (logs.filter(F.col("used_at").isNotNull())
+                 .select(F.col("promotion_code_id").alias("use_promo"), "used_at", "home_application_id").join(promos, "use_promo"))
+    numbered = number_rows(pairs, "code", ["used_at"], tie_break=["home_application_id", "use_promo", *GROUP[1:]], name="n",
+                           bucket=time_bucket("used_at", bucket_unit))
+    uses = numbered.select(*GROUP, "n", F.concat(F.col("n").cast("string"), F.lit(".- "), to_local("used_at", tz).cast("string"),
+                                                 F.lit(", "), F.col("home_application_id")).alias("use"))
+    none = promos.select(*GROUP, F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("string").alias("use"))
+    rows = uses.unionByName(none)  # every promotion, used or not
     grouped = list_join(rows, GROUP, "use", order_by=["n"], sep=" / ", name="uses")
     return sort_then_label(grouped, LABELS, [F.col("created_at").desc_nulls_first()], ordered)

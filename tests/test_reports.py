@@ -69,6 +69,24 @@ def test_promocodes_shared_code_sequence_and_merge(spark):
                          "3.- 2021-07-03 07:00:00, X2")
 
 
+def test_promocodes_repeated_promotion_and_agency_ids(spark):
+    created = ts("2021-07-01 12:00:00")
+    promo = dict(_id="P1", code="A", is_used=True, used_times=3, created_at=created)
+    t = make_tables(spark, {
+        "mongo_promotion_codes": [promo, promo, promo | dict(code="B"), dict(_id="P2", code="C", agency_id="AG1", created_at=created),
+                                  dict(code="D", created_at=created)],
+        "mongo_agencies": [dict(_id="AG1", name="Agencia Uno")] * 2,
+        "mongo_promotion_code_logs": [
+            dict(promotion_code_id="P1", home_application_id="X1", used_at=ts("2021-07-02 12:00:00")),
+            dict(promotion_code_id="P1", home_application_id="X2", used_at=ts("2021-07-03 12:00:00")),
+            dict(promotion_code_id="P2", home_application_id="X3", used_at=ts("2021-07-03 12:00:00"))],
+    })
+    first, second = "2021-07-02 07:00:00, X1", "2021-07-03 07:00:00, X2"
+    assert {r["Codigo"]: r["Usos"] for r in rows(report("promocodes", t, AS_OF))} == {
+        "A": f"1.- {first} / 2.- {first} / 3.- {second} / 4.- {second}", "B": f"1.- {first} / 2.- {second}",
+        "C": "1.- 2021-07-03 07:00:00, X3 / 2.- 2021-07-03 07:00:00, X3", "D": None}
+
+
 def test_leads_reasons_only_for_archived(spark):
     t = make_tables(spark, {
         "postgres_leads": [dict(id=1, name="ana", last_name="ruiz", country_code=52, user_id=10,
