@@ -51,7 +51,12 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the mix takes, with their size in words, their source's size
-    and target, and how many words of theirs are taken (repeats counted)."""
+    and target, and how many words of theirs are taken (repeats counted).
+
+    A row is not repeated or cut: one that is taken twice is one row, and one at
+    the cut keeps its whole text. Only ``taken`` adds up to the target, so a
+    reader must weight rows by it: ``floor(taken / size)`` whole passes over the
+    text, then its first ``taken % size`` words."""
     size = fresh(docs.columns, "size")
     return mixing.mix(docs.withColumn(size, mixing.n_words("text")), size=size).filter("taken > 0")
 

@@ -91,6 +91,15 @@ def test_mix(spark, docs):
     assert sum(taken.values()) == pytest.approx(1.5 * words, abs=len(taken))
 
 
+def test_mix_rows_must_be_weighted_by_taken(spark):
+    docs = spark.createDataFrame([(i, "a" if i < 10 else "b", f"{i} " + "w " * (i % 7)) for i in range(200)], "doc_id long, source string, text string")
+    rows = pipeline.mix_sources(spark, docs, SF).collect()
+    assert len({r.doc_id for r in rows}) == len(rows)
+    passes = {s: sum(len((r.text.split() * 2)[:r.taken]) for r in rows if r.source == s) for s in "ab"}
+    assert passes == {r.source: round(r.target) for r in rows} and passes["a"] == 2 * sum(r["size"] for r in rows if r.source == "a")
+    assert "weight rows by it" in " ".join(pipeline.mix_sources.__doc__.split())
+
+
 def test_run_chains_the_stages(spark):
     out = pipeline.run(spark, SF)
     ids = [r.doc_id for r in out.collect()]
