@@ -14,7 +14,8 @@ ends are written as two characters.
 
 Null texts and roles count as empty. A row whose parent is null or missing is
 a root. Rows on a cycle of parents are on no path. Node ids must be apart
-within a conversation; a null conversation id is a conversation of its own.
+within a conversation; a null conversation id is a conversation of its own. A
+row whose node id is null is a leaf below its parent, each such row for itself.
 """
 
 from __future__ import annotations
@@ -115,12 +116,19 @@ def format_trees(rows: DataFrame, conv: str = "conv_id", node: str = "node", par
                  score: str | None = None, top: int | None = 1) -> DataFrame:
     """(conv, leaf, rank, formatted, loss_mask) of the ``top`` branches of each
     conversation (None: all). A branch's score is the sum over its rows (null
-    as 0; without ``score`` the number of rows); of ties the smaller leaf."""
+    as 0; without ``score`` the number of rows); of ties the smaller leaf, null
+    last (of null leaves, the row of smaller digest)."""
     scratch = Scratch(rows.sparkSession, "chat")
     none = F.col(conv).isNull()
     value = F.coalesce(F.col(score).cast("double"), F.lit(0.0)) if score else F.lit(1.0)
+    # rows without an id are told apart by their content, then by a number drawn once: the table is written
+    own = F.when(F.col(node).isNull(), F.concat(F.sha2(F.to_json(F.struct(F.col(parent).alias("parent"), F.col(role).alias("role"), F.col(text).alias("text"),
+                                                                          value.alias("score"))), 256), F.expr("uuid()"))).otherwise(F.lit(""))
+    no = F.lit(False)
+    id_, above = F.coalesce(F.col(node), F.when(no, F.col(parent))), F.coalesce(F.when(no, F.col(node)), F.col(parent))  # of one type
     kept = scratch.cut(rows.select(F.struct(none.alias("none"), F.when(none, 0).otherwise(F.col(conv)).alias("id")).alias("conv"),
-                                   F.col(node).alias("node"), F.col(parent).alias("parent"), value.alias("score"),
+                                   F.struct(own.alias("own"), id_.alias("id")).alias("node"),
+                                   F.when(F.col(parent).isNotNull(), F.struct(F.lit("").alias("own"), above.alias("id"))).alias("parent"), value.alias("score"),
                                    F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")), "nodes")
     found = paths(kept.select("conv", "node", "parent"), scratch)
     branch = found.join(kept.select("conv", "node", "score"), ["conv", "node"]).groupBy("conv", "leaf").agg(F.sum("score").alias("score"))
@@ -129,5 +137,6 @@ def format_trees(rows: DataFrame, conv: str = "conv_id", node: str = "node", par
     chosen = branch.filter(F.col("rank") <= top) if top else branch
     turns = (found.join(chosen, ["conv", "leaf"]).join(kept.select("conv", "node", "role", "text"), ["conv", "node"])
              .groupBy("conv", "leaf", "rank").agg(F.array_sort(F.collect_list(F.struct((-F.col("back")).alias("at"), "role", "text"))).alias("turns")))
-    return turns.select(F.when(~F.col("conv.none"), F.col("conv.id")).alias(conv), "leaf", F.col("rank").cast("long").alias("rank"),
+    leaf = F.col("leaf.id").cast(rows.select(F.col(node)).schema[0].dataType).alias("leaf")
+    return turns.select(F.when(~F.col("conv.none"), F.col("conv.id")).alias(conv), leaf, F.col("rank").cast("long").alias("rank"),
                         written(F.col("turns")).alias("formatted"), loss_mask(F.col("turns")).alias("loss_mask"))

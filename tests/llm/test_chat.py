@@ -61,6 +61,17 @@ def test_paths_ranks_and_round_trip(spark, top):
     assert 50 in seen and want[50].keys() == {9}
 
 
+def test_null_node_ids(spark):
+    rows = [(c, n, p, "user", t, 1.0, "c") for c in (1, None) for n, p, t in [
+        (0, None, "q"), (1, 0, "a"), (None, 1, "x"), (None, 1, "x"), (None, 1, "y"), (None, None, "alone"), (None, 77, "lost"), (2, 0, "b")]]
+    got = format_trees(spark.createDataFrame(rows, SCHEMA), score="score", top=None).withColumn("back", read_turns(F.col("formatted"))).collect()
+    for c in (1, None):
+        mine = sorted((r for r in got if r.conv_id == c), key=lambda r: r["rank"])
+        assert sorted((r.leaf is None, "".join(t.text for t in r.back)) for r in mine) == sorted(
+            [(True, "qax"), (True, "qax"), (True, "qay"), (False, "qb"), (True, "alone"), (True, "lost")])
+        assert [r["rank"] for r in mine] == list(range(1, 7)) and [r.leaf for r in mine] == [None, None, None, 2, None, None]
+
+
 def test_empty_table(spark):
     assert format_trees(spark.createDataFrame([], SCHEMA)).count() == 0
 
