@@ -59,6 +59,14 @@ def text_key(col) -> F.Column:
     return F.unhex(F.substring(F.sha2(F.coalesce(col, F.lit("")), 256), 1, 32))
 
 
+def lower_ascii(col) -> F.Column:
+    """A-Z in lower case and no other letter changed; null as empty."""
+    text = F.coalesce(col, F.lit(""))
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    # lower() is the faster of the two and the same on texts of ASCII only
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
+
+
 def fresh(taken, name: str) -> str:
     """``name``, lengthened until no column of ``taken`` has it (case ignored)."""
     have = {c.lower() for c in taken}

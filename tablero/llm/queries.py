@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablero.llm import cascade, chat, credentials, decontam, mixing, quality, repeats, simhash, tokens, urls
+from tablero.llm import cascade, chat, credentials, decontam, minhash, mixing, quality, repeats, simhash, tokens, urls
 from tablero.llm._common import Scratch, read, text_key
 
 
@@ -104,9 +104,17 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_packed_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.compare_edited(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                        minhash.hex_digits(F.col("fp")).alias("fingerprint"), minhash.hex_digits(F.col("edited_fp")).alias("edited_fingerprint"),
+                        "near_edited", "near_next")
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_run_length_dedup, op2_gray_simhash, op3_quadratic_quality, op4_digest_token_counts, op5_hamming_decontamination,
     op6_quality_cascade, op7_url_rules, op8_prefix_sum_mix, op9_inferred_secrets, op10_reply_trees,
+    op11_packed_minhash,
 )}
 
 #: DuckDB SQL by query, for those that SQL can express.
