@@ -1,6 +1,8 @@
 """Driver contract: entry(), queries() and oracle_sql() agree with DuckDB."""
 
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -40,3 +42,14 @@ def test_query_matches_oracle(spark, duck, name):
     exp, exp_cols = rows_of([c[0] for c in cur.description], cur.fetchall())
     assert got_cols == exp_cols
     assert got == exp
+
+
+@pytest.mark.parametrize("absent", ["xxhash", "public_tokenizers", "tablero.llm", "corpus_pipeline"])
+def test_reports_need_no_package_of_the_training_data(absent):
+    """Without a package of the training-data queries, all others are registered."""
+    from tablero.plans.standins import ORACLES, REGISTRY
+    code = (f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as e; "
+            "print(len(e.queries()), len(e.oracle_sql()))")
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout
+    assert out.split() == [str(len(REGISTRY)), str(len(ORACLES))]
