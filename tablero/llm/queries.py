@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablero.llm import cascade, chat, credentials, decontam, minhash, mixing, quality, repeats, simhash, tokens, urls
+from tablero.llm import cascade, chat, collocations, credentials, decontam, divergence, minhash, mixing, quality, repeats, simhash, tokens, urls
 from tablero.llm._common import Scratch, read, text_key
 
 
@@ -111,10 +111,18 @@ def op11_packed_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "near_edited", "near_next")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
+def op13_setm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_run_length_dedup, op2_gray_simhash, op3_quadratic_quality, op4_digest_token_counts, op5_hamming_decontamination,
     op6_quality_cascade, op7_url_rules, op8_prefix_sum_mix, op9_inferred_secrets, op10_reply_trees,
-    op11_packed_minhash,
+    op11_packed_minhash, op12_source_divergence, op13_setm_collocations,
 )}
 
 #: DuckDB SQL by query, for those that SQL can express.
@@ -177,5 +185,51 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        sum(CASE WHEN role = 'assistant' THEN n + 7 ELSE r + n + 17 END)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
+""",
+    "op12_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM o GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+cells AS (SELECT lang, source, term, coalesce(n, 0) AS n, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total,
+                 count(*) OVER (PARTITION BY lang, source) AS v FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT *, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v) AS p FROM cells),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) // (sum(total) + 5 * any_value(v)) AS q FROM cells GROUP BY lang, term),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 50
+""",
+    "op13_setm_collocations": r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
+                  regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT id, lang, unnest(pieces) AS piece, unnest(range(len(pieces))) AS at FROM d),
+w AS (SELECT id, lang, at, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+o AS (SELECT id, lang, at, unnest(w) AS word, unnest(range(len(w))) AS pos FROM w),
+s AS (SELECT lang, word AS w1, lead(word, 1) OVER x AS w2, lead(word, 2) OVER x AS w3, lead(word, 3) OVER x AS w4, lead(word, 4) OVER x AS w5
+      FROM o WINDOW x AS (PARTITION BY id, at ORDER BY pos)),
+a AS (SELECT lang, unnest([w1, w1 || ' ' || w2, w1 || ' ' || w2 || ' ' || w3, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4,
+                           w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5]) AS phrase FROM s),
+n AS (SELECT lang, count(*) AS n FROM s GROUP BY lang),
+f AS (SELECT lang, phrase, string_split(phrase, ' ') AS w, count(*) AS f FROM a WHERE phrase IS NOT NULL GROUP BY lang, phrase HAVING count(*) >= 100),
+i AS (SELECT DISTINCT lang, f, array_to_string(w[x : y], ' ') AS phrase FROM f, range(1, 6) b(x), range(1, 6) e(y)
+      WHERE y <= len(w) AND x < y AND y - x + 1 < len(w)),
+c AS (SELECT * FROM f WHERE len(w) > 1 AND NOT EXISTS (SELECT 1 FROM i WHERE i.lang = f.lang AND i.phrase = f.phrase AND i.f >= f.f)),
+t AS (SELECT c.lang, c.phrase, c.f AS a, cut, l.f AS l, r.f AS r, n.n,
+             (1000::HUGEINT * c.f * n.n) // (l.f::HUGEINT * r.f) AS score
+      FROM c, range(1, 5) k(cut), f l, f r, n
+      WHERE cut < len(c.w) AND l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : cut], ' ')
+        AND r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1 :], ' ') AND n.lang = c.lang),
+m AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM m)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM z WHERE rank <= 2000
 """,
 }
