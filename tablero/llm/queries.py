@@ -211,11 +211,11 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank F
 WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
                   regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                         '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
-p AS (SELECT id, lang, unnest(pieces) AS piece, unnest(range(len(pieces))) AS at FROM d),
-w AS (SELECT id, lang, at, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
-o AS (SELECT id, lang, at, unnest(w) AS word, unnest(range(len(w))) AS pos FROM w),
+p AS (SELECT id, lang, unnest(pieces) AS piece, unnest(range(len(pieces))) AS k FROM d),
+w AS (SELECT id, lang, k, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+o AS (SELECT id, lang, k, unnest(w) AS word, unnest(range(len(w))) AS pos FROM w),
 s AS (SELECT lang, word AS w1, lead(word, 1) OVER x AS w2, lead(word, 2) OVER x AS w3, lead(word, 3) OVER x AS w4, lead(word, 4) OVER x AS w5
-      FROM o WINDOW x AS (PARTITION BY id, at ORDER BY pos)),
+      FROM o WINDOW x AS (PARTITION BY id, k ORDER BY pos)),
 a AS (SELECT lang, unnest([w1, w1 || ' ' || w2, w1 || ' ' || w2 || ' ' || w3, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4,
                            w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5]) AS phrase FROM s),
 n AS (SELECT lang, count(*) AS n FROM s GROUP BY lang),
