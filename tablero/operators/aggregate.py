@@ -28,23 +28,34 @@ def count_when(df: DataFrame, keys, conditions: Mapping[str, Column], total: str
 
 
 def list_join(df: DataFrame, keys, item: ColumnOrName, order_by: Sequence[ColumnOrName] = (),
-              sep: str = ", ", name: str = "items") -> DataFrame:
+              sep: str = ", ", name: str = "items", bucket: ColumnOrName | None = None) -> DataFrame:
     """``LISTAGG(item, sep) WITHIN GROUP (ORDER BY order_by)`` per key.
 
     NULL items are skipped; a group with no non-NULL item gives NULL.
     ``order_by`` sorts ASC with NULLs last and defaults to the item itself.
     The list is gathered per key (partially per map task, then merged), so
     its memory is that of the output string.
+
+    ``bucket`` (a column, or several compared in turn, monotone in
+    ``order_by``) is for keys with very many items: items are gathered, sorted
+    and joined inside (key, bucket) first, and a key only puts the finished
+    strings of its buckets together, in bucket order. No task sorts a whole
+    group, and what meets per key is text, not items with their sort keys.
     """
     keys = as_list(keys)
     it = col(item)
     okey = order_key(as_list(order_by) or [it])
-    entry = F.struct(okey.alias("k"), it.alias("v"))
-    gathered = F.collect_list(F.when(it.isNotNull(), entry))
-    return (df.groupBy(*keys).agg(gathered.alias("_lj"))
-              .select(*keys, F.when(F.size("_lj") > 0,
-                                    F.array_join(F.transform(F.array_sort("_lj"), lambda x: x["v"]), sep))
-                       .alias(name)))
+
+    def joined(d: DataFrame, by: list, order: Column, value: Column) -> DataFrame:
+        gathered = F.collect_list(F.when(value.isNotNull(), F.struct(order.alias("k"), value.alias("v"))))
+        whole = F.array_join(F.transform(F.array_sort("_lj"), lambda x: x["v"]), sep)
+        return d.groupBy(*by).agg(gathered.alias("_lj")).withColumn(name, F.when(F.size("_lj") > 0, whole)).drop("_lj")
+
+    if bucket is None:
+        return joined(df, keys, okey, it)
+    marks = [f"_lj_b{i}" for i in range(len(as_list(bucket)))]
+    d = df.select("*", *[col(b).alias(m) for b, m in zip(as_list(bucket), marks)])
+    return joined(joined(d, [*keys, *marks], okey, it), keys, order_key(marks), F.col(name))
 
 
 def sum_by(df: DataFrame, keys, values: Mapping[str, ColumnOrName]) -> DataFrame:

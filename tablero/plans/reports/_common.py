@@ -4,20 +4,39 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablero.operators import hot_keys, spread_join
+from tablero.sources.sinks import with_position
+
 
 def labelled(df: DataFrame, labels: Sequence[tuple[str, str]]) -> DataFrame:
     """Final projection: internal column -> output label, in report order."""
     return df.select(*[F.col(src).alias(label) for src, label in labels])
 
 
+@dataclass(frozen=True)
+class Numbered:
+    """For ``ordered``: write the report in its order to ``path`` and return it
+    read back, with each row's place in that order in a last column."""
+
+    path: str
+    name: str = "position"
+
+
 def sort_then_label(df: DataFrame, labels: Sequence[tuple[str, str]], order: Sequence[Column] | None,
-                    ordered: bool) -> DataFrame:
+                    ordered: bool | Numbered) -> DataFrame:
     """Apply the report's final ORDER BY (range-partitioned global sort) when
-    ``ordered``; sort keys may be columns that are not projected."""
+    ``ordered``; sort keys may be columns that are not projected.
+
+    ``Numbered``: rows equal in the sort keys are ordered by the report's
+    columns in turn (NULLs last), so that places do not depend on the run."""
+    if isinstance(ordered, Numbered) and order:
+        df = with_position(df, [*order, *[F.col(src).asc_nulls_last() for src, _ in labels]], ordered.path, ordered.name)
+        return labelled(df, [*labels, (ordered.name, ordered.name)])
     if ordered and order:
         df = df.orderBy(*order)
     return labelled(df, labels)
@@ -42,3 +61,19 @@ def time_bucket(ts: str, unit: str = "day"):
     if unit == "day":
         return F.to_date(ts)
     return F.date_trunc(unit, F.col(ts))
+
+
+def lookups(df: DataFrame, spread_by: Sequence, joins: Sequence[tuple], hot: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Left joins in turn, ``(left key, (dimension, right key), ...)`` each, with
+    the rows whose key is NULL or hot dealt over several tasks (``spread_join``).
+    ``hot`` maps the first right key of an entry to the hot keys there."""
+    for left_key, *rights in joins:
+        df = spread_join(df, left_key, rights, hot=(hot or {}).get(rights[0][1]), spread_by=spread_by)
+    return df
+
+
+def measured(df: DataFrame, keys: Mapping[str, str], rows: int | None) -> dict[str, DataFrame]:
+    """For ``lookups``: per right key the values of ``df``'s foreign key that
+    more than ``rows`` rows hold; none if ``rows`` is None. Each is one more
+    narrow pass over that column, worth it where one value is known to be hot."""
+    return {right: hot_keys(df, key, rows) for right, key in keys.items()} if rows else {}

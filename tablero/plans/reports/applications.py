@@ -12,7 +12,7 @@ from tablero import DEFAULT_TZ
 from tablero.functions import (as_of_date, flag_int, full_name, join_parts, label_map, not_in, to_local,
                                year_boundaries)
 from tablero.operators import any_one_per_key, latest_per_key, role_pivot
-from tablero.plans.reports._common import alias_cols, as_of_value, sort_then_label
+from tablero.plans.reports._common import alias_cols, as_of_value, lookups, measured, sort_then_label
 
 # Output labels, in report order.
 LABELS = [
@@ -72,9 +72,14 @@ def _lookup_row(df: DataFrame, key: str) -> DataFrame:
     return any_one_per_key(df.filter(F.col(key).isNotNull()), key)
 
 
-def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True) -> DataFrame:
+def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True,
+          hot_rows: int | None = None) -> DataFrame:
+    """``hot_rows``: a home, user, agency or scheme that more applications have
+    is dealt over several tasks in its join (see ``measured``)."""
     today = as_of_date(as_of_value(as_of))
     apps = tables["mongo_home_applications"].filter(not_in("_step", EXCLUDED_STEPS))
+    # the source numbers the rows of each (application, agency) and keeps one, so a repeated pair is one row
+    apps = any_one_per_key(apps, ["_id", "agency_id"])
     # The source joins every rent of the home, every income, payment, report and
     # every promotion of the agency, then keeps one row per (application,
     # agency) ordered by promotion date. Each child is reduced to one row per
@@ -103,15 +108,18 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
                                                      "neighborhood"]), "h__id")
     schemes = _lookup_row(alias_cols(tables["mongo_guarantee_deposit_schemes"], "gd_", ["_id", "name"]), "gd__id")
 
-    j = (apps.join(rents, F.col("r_home") == apps.home_id, "left")
-             .join(users, F.col("u__id") == apps.user_id, "left")
-             .join(homes, F.col("h__id") == apps.home_id, "left")
-             .join(incomes, apps.id == incomes.mongo_home_applications_id, "left")
-             .join(payments, payments.paymentable_id == apps._id, "left")
-             .join(promos, F.col("pr_agency") == apps.agency_id, "left")
-             .join(schemes, apps.guarantee_deposit_scheme_id == F.col("gd__id"), "left")
+    j = (apps.join(payments, payments.paymentable_id == apps._id, "left")
              .join(reports, F.col("rp_app") == apps._id, "left")
              .join(steps, F.col("st_app") == apps._id, "left"))
+    hot = measured(tables["mongo_home_applications"], {"r_home": "home_id", "u__id": "user_id", "pr_agency": "agency_id",
+                                                       "gd__id": "guarantee_deposit_scheme_id"}, hot_rows)
+    j = lookups(j, [apps._id], [
+        (apps.id, (incomes, "mongo_home_applications_id")),
+        (apps.home_id, (rents, "r_home"), (homes, "h__id")),
+        (apps.user_id, (users, "u__id")),
+        (apps.agency_id, (promos, "pr_agency")),
+        (apps.guarantee_deposit_scheme_id, (schemes, "gd__id")),
+    ], hot)
     approved = apps._status == "approved"
     built = join_parts("h_street", "h_number", "h_neighborhood", null_as=" ")
     out = j.select(

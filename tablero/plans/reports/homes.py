@@ -3,11 +3,12 @@ advisors, bookings, prices and features.
 
 Re-design of the source's fifteen CTEs for Spark:
 
-* One LAG over the status log (split by day, see ``with_previous``) feeds
-  every history pick: first/last publication, first/last pending approval
-  and the latest take-down all come from one aggregation
-  (``transition_summary``); only the reactivation rule needs a second pass
-  (a LAG over the publications).
+* The log is read once, as tagged rows (its entries, and the prices that they
+  replaced). One window pass over them (split by day, ``with_last_match``)
+  gives the previous status, the previous price and the last publication
+  before each publication; one aggregation (``transition_summary``) then
+  makes every pick: first/last publication, first/last pending approval,
+  latest take-down, reactivation, latest price change.
 * The advisor slots are picked per owner and joined to the homes once.
 * The meeting counter's no-op join is not written (its date condition sits
   in the ON clause of a LEFT JOIN whose columns are unused).
@@ -29,9 +30,9 @@ from pyspark.sql import functions as F
 from tablero import DEFAULT_TZ
 from tablero.functions import (as_of_date, as_of_lit, day_boundaries, first_match, full_name, has_bit, label_map,
                                join_parts, month_start, not_in, parse_month, split_part, to_local, yes_no)
-from tablero.operators import (count_when, entered, latest_per_key, moved, reactivations, role_pivot, transition_summary,
-                               with_previous)
-from tablero.plans.reports._common import alias_cols, as_of_value, labelled, time_bucket
+from tablero.operators import (boundary_gap_months, count_when, entered, latest_per_key, moved, role_pivot, transition_summary,
+                               with_last_match)
+from tablero.plans.reports._common import alias_cols, as_of_value, labelled, lookups, measured, time_bucket
 
 # Output labels, in report order (spelling as published).
 LABELS = [
@@ -127,51 +128,74 @@ PETS_BIT = 0
 VIDEO_PREFIX = "https://"
 
 
-def status_history(tables: Mapping[str, DataFrame], tz: str, bucket_unit: str = "day") -> DataFrame:
-    """The log with previous status (LAG ordered by the stored UTC time, log
-    id breaking ties) and the local time."""
-    log = tables["mongo_home_logs"].filter(F.col("home_id").isNotNull()).select("home_id", "id", "created_at", "status", "changed_by_id", "reason")
-    h = with_previous(log, "home_id", ["created_at"], ["status"], tie_break=["id"],
-                      bucket=time_bucket("created_at", bucket_unit))
-    return h.withColumn("local_at", to_local("created_at", tz))
+def home_log(tables: Mapping[str, DataFrame], now: dt.datetime, tz: str) -> DataFrame:
+    """The log as tagged rows, read once: every entry as a ``status`` row at its
+    creation, and one ``price`` row at its update for each previous price that
+    it holds and that the price window takes."""
+    logs = tables["mongo_home_logs"].filter(F.col("home_id").isNotNull())
+    values = tables["mongo_home_logs_previous_values"].select("id", F.col("mongo_home_logs_id").alias("pv_log"))
+    prices = tables["mongo_home_logs_previous_values_price"].filter(F.col("value").isNotNull())
+    # the nested prices of one log entry
+    prices = (prices.join(values.filter(F.col("pv_log").isNotNull()), prices.mongo_home_logs_previous_values_id == values.id, "inner")
+                    .groupBy("pv_log").agg(F.collect_list("value").alias("prices")))
+    changed = to_local("updated_at", tz)
+    taken = (changed >= F.lit(PRICE_HISTORY_FROM).cast("timestamp_ntz")) & (changed <= as_of_lit(now))
+    kind = lambda k: F.lit(k).alias("kind")
+    entry = F.struct(kind("status"), F.col("created_at").alias("at"), F.lit(None).cast("decimal(18,2)").alias("price"))
+    priced = F.transform("prices", lambda v: F.struct(kind("price"), F.col("updated_at").alias("at"), v.alias("price")))
+    rows = F.when(taken & F.col("prices").isNotNull(), F.concat(F.array(entry), priced)).otherwise(F.array(entry))
+    rows = logs.join(prices, F.col("pv_log") == F.col("id"), "left").select(
+        "home_id", "id", "status", "changed_by_id", "reason", F.inline(rows))
+    status = F.col("kind") == "status"
+    return rows.select("home_id", "id", "kind", "at", "price", *[F.when(status, F.col(c)).alias(c) for c in ("status", "changed_by_id", "reason")],
+                       to_local("at", tz).alias("local_at"))
 
 
-def publications(history: DataFrame) -> DataFrame:
-    return (history.filter(entered("status", "previous_status", [PUBLISHED]))
-                   .select("home_id", "id", F.col("local_at").alias("published_at"), "changed_by_id"))
+def log_picks(tables: Mapping[str, DataFrame], now: dt.datetime, tz: str, bucket_unit: str = "day") -> DataFrame:
+    """Everything that the report takes from the log, one row per home, from one
+    scan of the log, one window pass and one aggregation.
+
+    The LAGs go by the stored UTC time, the log id breaking ties. That of the
+    publications does so too: it differs from their order in local time only
+    inside the hour that a zone's clock repeats."""
+    rows = home_log(tables, now, tz)
+    into = lambda states, **how: (lambda s, p: (F.col("kind") == "status") & entered(s, p, states, **how))
+    h = with_last_match(rows, ["home_id", "kind"], ["at"], "status", into([PUBLISHED]), ["local_at"], previous=["price"],
+                        tie_break=["id", "price"], bucket=time_bucket("at", bucket_unit), name="publishes", match_prefix="published_before_")
+    pub = F.col("publishes")
+    again = pub & (boundary_gap_months("published_before_local_at", "local_at") >= REACTIVATION_MIN_GAP)
+    status = F.col("kind") == "status"
+    picks = transition_summary(h, "home_id", ["local_at"], tie_break=["id"], specs={
+        "first_pub": (pub, "first", ["local_at", "changed_by_id"]),
+        "last_pub": (pub, "last", ["local_at", "changed_by_id"]),
+        "first_pending": (status & moved("status", "previous_status", ["in_progress"], [PENDING]), "first", ["local_at"]),
+        "last_pending": (status & moved("status", "previous_status", ["in_progress", "rented"], [PENDING]), "last",
+                         ["local_at"]),
+        "down": (into(TAKEDOWN_STATES, first_row_counts=False)(F.col("status"), F.col("previous_status")), "last",
+                 ["local_at", "reason"]),
+        "price": (F.col("kind") == "price", "last", ["previous_price", "local_at"], ["at", "id", "price"]),
+    }, extra={"reactivated_at": F.max(F.when(again, F.col("local_at")))})
+    return picks.select(F.col("home_id").alias("fl_home"),
+                        F.col("first_pub_local_at").alias("first_published_at"),
+                        F.col("first_pub_changed_by_id").alias("first_changed_by_id"),
+                        F.col("last_pub_local_at").alias("last_published_at"),
+                        F.col("last_pub_changed_by_id").alias("last_changed_by_id"),
+                        F.col("first_pending_local_at").alias("fp_at"), F.col("last_pending_local_at").alias("lp_at"),
+                        F.col("down_local_at").alias("taken_down_at"), F.col("down_reason").alias("dn_reason"),
+                        F.col("price_previous_price").alias("previous_price"), F.col("price_local_at").alias("price_changed_at"),
+                        "reactivated_at")
 
 
 def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True,
-          fix_double_tz: bool = False, bucket_unit: str = "day") -> DataFrame:
+          fix_double_tz: bool = False, bucket_unit: str = "day", hot_rows: int | None = None) -> DataFrame:
     """``bucket_unit``: time unit the log windows are split by (see
-    ``with_previous``); finer for entities with very many changes a day."""
+    ``with_last_match``); finer for entities with very many changes a day.
+    ``hot_rows``: an owner or advisor of more homes is dealt over several tasks
+    in its join (see ``measured``)."""
     now = as_of_value(as_of)
     now_ts, today = as_of_lit(now), as_of_date(now)
     homes = tables["mongo_homes"]
-    history = status_history(tables, tz, bucket_unit)
-
-    # Every pick from the log in one aggregation (one shuffle of the log).
-    pub = entered("status", "previous_status", [PUBLISHED])
-    picks = transition_summary(history, "home_id", ["local_at"], tie_break=["id"], specs={
-        "first_pub": (pub, "first", ["local_at", "changed_by_id"]),
-        "last_pub": (pub, "last", ["local_at", "changed_by_id"]),
-        "first_pending": (moved("status", "previous_status", ["in_progress"], [PENDING]), "first", ["local_at"]),
-        "last_pending": (moved("status", "previous_status", ["in_progress", "rented"], [PENDING]), "last",
-                         ["local_at"]),
-        "down": (entered("status", "previous_status", TAKEDOWN_STATES, first_row_counts=False), "last",
-                 ["local_at", "reason"]),
-    })
-    picks = picks.select(F.col("home_id").alias("fl_home"),
-                         F.col("first_pub_local_at").alias("first_published_at"),
-                         F.col("first_pub_changed_by_id").alias("first_changed_by_id"),
-                         F.col("last_pub_local_at").alias("last_published_at"),
-                         F.col("last_pub_changed_by_id").alias("last_changed_by_id"),
-                         F.col("first_pending_local_at").alias("fp_at"), F.col("last_pending_local_at").alias("lp_at"),
-                         F.col("down_local_at").alias("taken_down_at"), F.col("down_reason").alias("dn_reason"))
-    # A home is reactivated if its last publication is one: the latest such time decides.
-    react = (reactivations(publications(history), "home_id", "published_at", min_gap=REACTIVATION_MIN_GAP,
-                           tie_break=["id"], bucket=time_bucket("published_at", bucket_unit))
-             .groupBy(F.col("home_id").alias("re_home")).agg(F.max("published_at").alias("reactivated_at")))
+    picks = log_picks(tables, now, tz, bucket_unit)
 
     # Latest paid advance per home.
     months = tables["mongo_rental_months"]
@@ -183,28 +207,6 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
                             tie_break=["_id"], columns=["created_at", "amount"]) \
         .select("bk_home", to_local("created_at", tz).alias("booked_at"), F.col("amount").alias("booked_amount"))
 
-    # Price history: previous price at the latest change inside the window.
-    pv = tables["mongo_home_logs_previous_values"]
-    pvp = tables["mongo_home_logs_previous_values_price"].filter(F.col("value").isNotNull())
-    logs = tables["mongo_home_logs"]
-    changed = to_local(logs.updated_at, tz)
-    day = dt.timedelta(days=1)  # more than any zone's offset
-    raw_from = F.lit((dt.datetime.fromisoformat(PRICE_HISTORY_FROM) - day).isoformat(sep=" ")).cast("timestamp_ntz")
-    raw_to = F.lit((now + day).isoformat(sep=" ")).cast("timestamp_ntz")
-    priced = (pvp.join(pv, pvp.mongo_home_logs_previous_values_id == pv.id, "inner")
-                 .join(logs, pv.mongo_home_logs_id == logs.id, "inner")
-                 .filter((logs.updated_at >= raw_from) & (logs.updated_at <= raw_to))  # reaches the scan
-                 .filter((changed >= F.lit(PRICE_HISTORY_FROM).cast("timestamp_ntz")) & (changed <= now_ts))
-                 .select(logs.home_id, logs.id.alias("log_id"), logs.updated_at, pvp.value))
-    priced = priced.join(homes.select(F.col("_id").alias("ph_home")), F.col("ph_home") == F.col("home_id"),
-                         "left_semi")
-    priced = with_previous(priced, "home_id", ["updated_at"], ["value"], tie_break=["log_id", "value"],
-                           bucket=time_bucket("updated_at", bucket_unit))
-    price = latest_per_key(priced, "home_id", ["updated_at"], tie_break=["log_id", "value"],
-                           columns=["previous_value", "updated_at"]) \
-        .select(F.col("home_id").alias("pp_home"), F.col("previous_value").alias("previous_price"),
-                to_local("updated_at", tz).alias("price_changed_at"))
-
     # Advisor slots: one e-mail per (owner, role), largest e-mail first.
     owners = tables["mongo_owners"]
     users = tables["mongo_users"]
@@ -267,19 +269,19 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     j = (homes.join(rented, homes._id == F.col("tr_home"), "left")
               .join(picks, homes._id == F.col("fl_home"), "left")
               .join(meetings, F.col("mt_home") == homes._id, "left")
-              .join(react, homes._id == F.col("re_home"), "left")
               .join(booked, (homes._id == F.col("bk_home")) & (F.col("booked_at") >= last_pub), "left")
               .join(features, homes._id == F.col("hf_home"), "left")
-              .join(price, homes._id == F.col("pp_home"), "left")
               .join(recommended, F.col("rp_home") == homes.id, "left")
-              .join(locations, homes.id == F.col("loc_home"), "left")
-              .join(owner_rows, homes.owner_id == F.col("ow__id"), "left")
-              .join(slots, homes.owner_id == F.col("sh_owner"), "left")
-              .join(owner_users, F.col("ow_user_id") == F.col("ou__id"), "left")
-              .join(first_agent, F.col("first_changed_by_id") == F.col("fa__id"), "left")
-              .join(last_agent, F.col("last_changed_by_id") == F.col("la__id"), "left")
-              .join(advisors, homes.advisor_id == F.col("ad__id"), "left")
-              .join(advisor_users, F.col("au__id") == F.col("ad_user_id"), "left"))
+              .join(locations, homes.id == F.col("loc_home"), "left"))
+    hot = measured(homes, {"ow__id": "owner_id", "ad__id": "advisor_id"}, hot_rows)
+    j = lookups(j, [homes._id], [
+        (homes.owner_id, (owner_rows, "ow__id"), (slots, "sh_owner")),
+        ("ow_user_id", (owner_users, "ou__id")),
+        ("first_changed_by_id", (first_agent, "fa__id")),
+        ("last_changed_by_id", (last_agent, "la__id")),
+        (homes.advisor_id, (advisors, "ad__id")),
+        ("ad_user_id", (advisor_users, "au__id")),
+    ], hot)
 
     st = homes._status
     is_rented = F.col("tr_home").isNotNull()

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablero import DEFAULT_TZ
-from tablero.functions import (first_match, full_name, is_false, is_true, label_map, month_boundaries,
-                               month_label, to_local)
-from tablero.operators import sibling_sums
+from tablero.functions import full_name, is_false, is_true, label_map, month_boundaries, month_label, to_local
+from tablero.operators import sibling_sums, slot_product
 from tablero.plans.reports._common import alias_cols, sort_then_label
 
 # Output labels, in report order.
@@ -77,24 +76,34 @@ _DISPERSION_CHILDREN = {
 }
 
 
-def srpago_totals(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Per rental month, the four dispersion sums of applied references.
+def applied_references(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The references applied to a rental month, read once: each with its own
+    columns and with the four dispersion sums of its month.
 
     The source sums after joining the four child tables of each dispersion
     record side by side; ``sibling_sums`` gives that result from one grouping
-    of the children.
-    """
+    of the children."""
     key = "mongo_payment_reference_requests_dispersion_data_id"
     children = {name: tables[tbl].select(key, F.col(amount).alias("amount")) for name, (tbl, amount) in _DISPERSION_CHILDREN.items()}
+    totals = [f"{n}_total" for n in children]
     data = tables["mongo_payment_reference_requests_dispersion_data"].select(
         F.col("id").alias(key), F.col("mongo_payment_reference_requests_id").alias("ref_id"))
-    per_data = data.join(sibling_sums(children, key, "amount"), key, "left")
-    refs = tables["mongo_payment_reference_requests"].filter(is_true("applied_to_rental_month"))
-    refs = refs.select(F.col("id").alias("ref_id"), F.col("rental_month_id").alias("sp_month"))
-    months = tables["mongo_rental_months"].select(F.col("_id").alias("sp_month"))
-    totals = [f"{n}_total" for n in children]
-    return (refs.join(per_data, "ref_id", "left").join(months, "sp_month")
-            .groupBy("sp_month").agg(*[F.sum(t).alias(t) for t in totals]))
+    per_ref = (data.join(sibling_sums(children, key, "amount"), key, "left")
+                   .groupBy("ref_id").agg(*[F.sum(t).alias(t) for t in totals]))
+    refs = tables["mongo_payment_reference_requests"].filter(is_true("applied_to_rental_month") & F.col("rental_month_id").isNotNull())
+    refs = alias_cols(refs, "pr_", ["id", "rental_month_id", "apply_dispersion", "store_name", "reference_description", "_provider"])
+    refs = refs.join(per_ref, F.col("pr_id") == F.col("ref_id"), "left")
+    # the source joins the months before it sums: a month that is there twice counts twice
+    months = tables["mongo_rental_months"].groupBy(F.col("_id").alias("sp_month")).agg(F.count(F.lit(1)).alias("sp_rows"))
+    refs = refs.join(months, F.col("pr_rental_month_id") == F.col("sp_month"))
+    month = Window.partitionBy("sp_month")
+    return refs.withColumns({t: F.sum(F.col(t) * F.col("sp_rows")).over(month) for t in totals}).drop("pr_id", "ref_id", "sp_rows", "sp_month")
+
+
+def srpago_totals(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Per rental month, the four dispersion sums of applied references."""
+    totals = [f"{n}_total" for n in _DISPERSION_CHILDREN]
+    return applied_references(tables).select(F.col("pr_rental_month_id").alias("sp_month"), *totals).distinct()
 
 
 def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True) -> DataFrame:
@@ -107,21 +116,16 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     homes = alias_cols(tables["mongo_homes"], "h_", ["_id", "owner_id"])
     owners = alias_cols(tables["mongo_owners"], "o_", ["_id", "user_id"])
     owner_users = alias_cols(tables["mongo_users"], "ou_", ["_id", "email"])
-    refs = alias_cols(tables["mongo_payment_reference_requests"].filter(is_true("applied_to_rental_month")), "pr_",
-                      ["rental_month_id", "apply_dispersion", "store_name", "reference_description", "_provider"])
+    refs = applied_references(tables)
     pays = tables["mongo_rental_payments"].filter(F.col("_status") == "applied")
     pays = pays.select(F.col("rental_month_id").alias("rp_month"), to_local("paid_at", tz).alias("payment_date"),
                        "payment_method", F.col("_status").alias("payment_status"), "payment_code", "card_type",
                        "card_brand", F.col("extra_fee").alias("rp_extra_fee"), F.col("amount").alias("rp_amount"))
-    srpago = srpago_totals(tables)
-    disp = tables["mongo_rental_month_dispersions"]
-
-    def slot(prefix: str, pred: Column) -> DataFrame:
-        return alias_cols(disp.filter(pred), prefix, ["rental_month_id", "amount", "email", "_status"])
-
+    # the three role slots from one read: a month with several rows of a role has every combination, as in the source
     applies = F.col("_applies_to")
-    advisor, owner_d, other = (slot("ad_", applies == "advisor"), slot("od_", applies == "owner"),
-                               slot("xd_", ~applies.isin("advisor", "owner")))
+    slots = slot_product(tables["mongo_rental_month_dispersions"], "rental_month_id", {
+        "ad": applies == "advisor", "od": applies == "owner", "xd": ~applies.isin("advisor", "owner")},
+        ["amount", "email", "_status"]).withColumnRenamed("rental_month_id", "ds_month")
     interests = (tables["mongo_interest_historics"].groupBy(F.col("rental_month_id").alias("ih_month"))
                  .agg(F.sum("interests").alias("interests_amount")))
 
@@ -133,10 +137,7 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
                       .join(owner_users, F.col("ou__id") == F.col("o_user_id"), "left"))
     j = (months.join(refs, F.col("pr_rental_month_id") == months._id, "left")
                .join(pays, F.col("rp_month") == months._id, "left")
-               .join(srpago, F.col("sp_month") == months._id, "left")
-               .join(advisor, F.col("ad_rental_month_id") == months._id, "left")
-               .join(owner_d, F.col("od_rental_month_id") == months._id, "left")
-               .join(other, F.col("xd_rental_month_id") == months._id, "left")
+               .join(slots, F.col("ds_month") == months._id, "left")
                .join(interests, F.col("ih_month") == months._id, "left")
                .join(rent_side, F.col("r__id") == months.rent_id, "inner"))
 
@@ -157,8 +158,7 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
         # can only be FALSE or NULL, as written in the source
         F.when(first & (is_false("r_is_no_deposit") | F.col("r_is_no_deposit").isNull()), F.lit(False))
          .alias("is_no_deposit"),
-        first_match((first, F.col("r_deposit_months_warranty")),
-                    (charge != "first_payment", F.lit(None).cast("int"))).alias("deposit_months"),
+        F.when(first, F.col("r_deposit_months_warranty")).alias("deposit_months"),
         F.when(deferred, F.lit(True)).otherwise(F.lit(False)).alias("is_deferred_deposit"),
         # a zero instalment count gives NULL here; the warehouse would fail
         F.when(deferred, F.round(F.try_divide(F.col("r_deposit_amount"), F.col("r_months_to_pay_deposit")), 2))

@@ -50,5 +50,6 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
                                                  F.lit(", "), F.col("home_application_id")).alias("use"))
     none = promos.select(*GROUP, F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("string").alias("use"))
     rows = uses.unionByName(none)  # every promotion, used or not
-    grouped = list_join(rows, GROUP, "use", order_by=["n"], sep=" / ", name="uses")
+    # a code's uses are sorted and joined a thousand numbers at a time
+    grouped = list_join(rows, GROUP, "use", order_by=["n"], sep=" / ", name="uses", bucket=F.floor(F.col("n") / 1000))
     return sort_then_label(grouped, LABELS, [F.col("created_at").desc_nulls_first()], ordered)

@@ -11,7 +11,7 @@ from tablero import DEFAULT_TZ
 from tablero.functions import (as_of_date, first_match, full_name, is_true, join_parts, month_boundaries,
                                prefixed, to_local)
 from tablero.operators import latest_per_key
-from tablero.plans.reports._common import alias_cols, as_of_value, sort_then_label
+from tablero.plans.reports._common import alias_cols, as_of_value, lookups, measured, sort_then_label
 
 # Output labels, in report order.
 LABELS = [
@@ -74,7 +74,10 @@ def last_report_per_application(tables: Mapping[str, DataFrame]) -> DataFrame:
         .withColumnRenamed("home_application_id", "la_application_id")
 
 
-def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True) -> DataFrame:
+def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ordered: bool = True,
+          hot_rows: int | None = None) -> DataFrame:
+    """``hot_rows``: a home, user, scheme or fee that more rents have is dealt
+    over several tasks in its join (see ``measured``)."""
     today = as_of_date(as_of_value(as_of))
     rents = tables["mongo_rents"]
     contracts = alias_cols(tables["mongo_rent_contracts"], "c_", ["rent_id", "signed_at", "started_at", "ends_at"])
@@ -102,18 +105,22 @@ def build(tables: Mapping[str, DataFrame], as_of=None, tz: str = DEFAULT_TZ, ord
     j = (rents.join(contracts, F.col("c_rent_id") == rents._id, "left")
               .join(advance, rents._id == F.col("rm_rent_id"), "left")
               .join(children, (F.col("ch_parent_rent_id") == rents._id)
-                    & (F.col("c_rent_id") == F.col("ch_parent_rent_id")), "left")
-              .join(last_apps, F.col("la_application_id") == rents.home_application_id, "left")
-              .join(homes, rents.home_id == F.col("h__id"), "left")
-              .join(owners, F.col("h_owner_id") == F.col("o__id"), "left")
-              .join(owner_users, F.col("o_user_id") == F.col("ou__id"), "left")
-              .join(users, rents.user_id == F.col("u__id"), "left")
-              # advisor found through the tenant user, as the source does
-              .join(advisors, F.col("ha_user_id") == F.col("u__id"), "left")
-              .join(advisor_fees, F.col("af__id") == F.col("ha_home_advisor_fee_id"), "left")
-              .join(schemes, rents.guarantee_deposit_scheme_id == F.col("gd__id"), "left")
-              .join(company, F.col("cf__id") == rents.rent_third_party_company_fee_id, "left")
-              .join(partners, F.col("bp__id") == F.col("cf_fee_third_party_company_id"), "left"))
+                    & (F.col("c_rent_id") == F.col("ch_parent_rent_id")), "left"))
+    # the fee id is NULL for most rents, and any of these ids may be missing
+    hot = measured(rents, {"h__id": "home_id", "u__id": "user_id", "gd__id": "guarantee_deposit_scheme_id",
+                           "cf__id": "rent_third_party_company_fee_id"}, hot_rows)
+    j = lookups(j, [rents._id], [
+        (rents.home_application_id, (last_apps, "la_application_id")),
+        (rents.home_id, (homes, "h__id")),
+        ("h_owner_id", (owners, "o__id")),
+        ("o_user_id", (owner_users, "ou__id")),
+        (rents.user_id, (users, "u__id")),
+        ("u__id", (advisors, "ha_user_id")),  # advisor found through the tenant user, as the source does
+        ("ha_home_advisor_fee_id", (advisor_fees, "af__id")),
+        (rents.guarantee_deposit_scheme_id, (schemes, "gd__id")),
+        (rents.rent_third_party_company_fee_id, (company, "cf__id")),
+        ("cf_fee_third_party_company_id", (partners, "bp__id")),
+    ], hot)
 
     st = rents._status
     advance_paid = (F.col("rm__charge_type") == "advance") & (F.col("rm__status") == "paid")

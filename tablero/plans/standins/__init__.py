@@ -1,6 +1,6 @@
 """Stand-in queries: every operator of the reports over the benchmark tables."""
 
-from tablero.plans.standins import aggs, basic, joins, scalars, windows  # noqa: F401  (registers queries)
+from tablero.plans.standins import aggs, basic, joins, scalars, warehouse, windows  # noqa: F401  (registers queries)
 from tablero.plans.standins.common import ORACLES, REGISTRY
 
 __all__ = ["ORACLES", "REGISTRY"]

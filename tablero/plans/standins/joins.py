@@ -301,15 +301,12 @@ def self_join_children(spark, sf):
 
 @query("hierarchy_rollup", f"""
 WITH {RENT_TREE_SQL},
-dep AS (SELECT l_orderkey AS rent_id, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS deposit
-        FROM lineitem GROUP BY l_orderkey)
-SELECT d.rent_id, CAST(round(COALESCE(d.deposit, 0) + COALESCE(dp.deposit, 0) + COALESCE(dg.deposit, 0)) AS DOUBLE)
-       AS historic_deposit
-FROM dep d
-LEFT JOIN rent_tree r ON r.rent_id = d.rent_id
-LEFT JOIN dep dp ON dp.rent_id = r.parent_rent_id
-LEFT JOIN rent_tree pr ON pr.rent_id = r.parent_rent_id
-LEFT JOIN dep dg ON dg.rent_id = pr.parent_rent_id""")
+line AS (SELECT DISTINCT l_orderkey AS rent_id, l_orderkey AS source FROM lineitem
+         UNION ALL SELECT rent_id, parent_rent_id FROM rent_tree
+         UNION ALL SELECT c.rent_id, p.parent_rent_id FROM rent_tree c JOIN rent_tree p ON p.rent_id = c.parent_rent_id)
+SELECT rent_id, CAST(round(sum(CAST(l_extendedprice AS DECIMAL(18,2)))) AS DOUBLE) AS historic_deposit
+FROM line JOIN lineitem ON l_orderkey = source
+WHERE rent_id IN (SELECT l_orderkey FROM lineitem) GROUP BY rent_id""")
 def hierarchy_rollup(spark, sf):
     dep = (table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("rent_id"))
            .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("deposit")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tablero.functions import as_of_lit, day_boundaries, first_match, split_part, to_local, yes_no
 from tablero.operators import (any_one_per_key, entered, first_and_last, first_per_key, latest_per_key,
-                               lookup, moved, reactivations, transition_summary, transitions, with_previous)
+                               lookup, moved, transition_summary, transitions, with_last_match, with_previous)
 from tablero.operators.history import boundary_gap_months
 from tablero.plans.standins.common import (EVENTS_AS_OF, STATUS_LOG_SQL, loc, months, query, status_log,
                                            table, ts_lit)
@@ -120,15 +120,33 @@ SELECT o_custkey AS home_id, o_orderkey AS rent_id, o_orderdate AS reactivated_a
 FROM pubs
 WHERE (year(o_orderdate) - year(previous_at)) * 12 + {months('previous_at', 'o_orderdate')} >= 2""")
 def reactivation_gap(spark, sf):
-    pubs = (table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
-            .select("o_custkey", "o_orderkey", "o_orderdate"))
-    r = reactivations(pubs, "o_custkey", "o_orderdate", min_gap=2, tie_break=["o_orderkey"],
-                      bucket=F.floor(F.year("o_orderdate") / 4), prefix="prev_")
+    # the last order with this status before each such order, carried through all orders in one pass
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus")
+    h = with_last_match(o, "o_custkey", ["o_orderdate"], "o_orderstatus", lambda status, before: status == "F", ["o_orderdate"],
+                        tie_break=["o_orderkey"], bucket=F.floor(F.year("o_orderdate") / 4), match_prefix="prev_")
+    r = h.filter(F.col("matches") & (boundary_gap_months("prev_o_orderdate", "o_orderdate") >= 2))
     return r.select(F.col("o_custkey").alias("home_id"), F.col("o_orderkey").alias("rent_id"),
                     F.col("o_orderdate").alias("reactivated_at"), F.col("prev_o_orderdate").alias("previous_at"),
                     boundary_gap_months("prev_o_orderdate", "o_orderdate").alias("gap"))
 
 
+# -- W3/B3 on the log itself: the last publication, whose own rule needs the LAG --------
+@query("carried_publication", f"""
+WITH {HISTORY_SQL}, {PUBLISHED_SQL},
+before AS (SELECT *, lag(published_at) OVER w AS last_published_at, lag(changed_by_id) OVER w AS last_changed_by
+           FROM published WINDOW w AS (PARTITION BY home_id ORDER BY published_at, log_id))
+SELECT home_id, log_id, published_at, last_published_at, last_changed_by,
+       date_diff('day', CAST(last_published_at AS DATE), CAST(published_at AS DATE)) AS days_between FROM before""")
+def carried_publication(spark, sf):
+    log = status_log(spark, sf).withColumn("local_at", to_local("created_at"))
+    h = with_last_match(log, "home_id", ["created_at"], "status", lambda now, before: entered(now, before, ["published"]),
+                        ["local_at", "changed_by_id"], tie_break=["log_id"], bucket=DAY("created_at"))
+    return h.filter("matches").select(
+        "home_id", "log_id", F.col("local_at").alias("published_at"), F.col("last_match_local_at").alias("last_published_at"),
+        F.col("last_match_changed_by_id").alias("last_changed_by"),
+        day_boundaries("last_match_local_at", "local_at").alias("days_between"))
+
+
 TAKEDOWN_STATES = ["canceled", "unpublished", "temporarily_canceled"]
 
 

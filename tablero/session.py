@@ -38,10 +38,15 @@ def configure(spark: SparkSession) -> SparkSession:
       (``timestamp_ntz``); local time is always derived explicitly.
     * AQE on, with skew-join splitting and partition coalescing, so join
       strategies and reducer counts are picked from runtime sizes.
+    * Runtime Bloom filters on: a join with a filtered, not too large side drops
+      rows of the other side (from 1 GB on) at its scan, before they are shuffled
+      (``members``). A filter has at most 64 million bits (Spark's default bound).
     """
     conf = spark.conf
     conf.set("spark.sql.session.timeZone", "UTC")
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+    conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1g")
     return spark

@@ -10,7 +10,8 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablero.sources.schemas import SCHEMAS
 
@@ -50,16 +51,54 @@ def from_parquet(spark: SparkSession, root: str, names: Iterable[str] | None = N
     return Tables(resolve, names)
 
 
-def from_catalog(spark: SparkSession, names: Iterable[str] | None = None, database: str | None = None) -> Tables:
-    """Tables registered in the session catalog (``webscraping.x`` as its own
-    database)."""
-    names = list(names or SCHEMAS)
+def _qualified(name: str, database: str | None, namespaces: Mapping[str, str]) -> str:
+    """Full name of a table: ``ns.t`` is in the database of namespace ``ns``, a
+    plain ``t`` in ``database`` (None: the session's current one)."""
+    namespace, _, table = name.rpartition(".")
+    where = namespaces.get(namespace, namespace) if namespace else database
+    return f"`{where}`.`{table}`" if where else f"`{table}`"
 
-    def resolve(name: str) -> DataFrame:
-        full = name if "." in name or database is None else f"{database}.{name}"
-        return spark.table(full)
 
-    return Tables(resolve, names)
+def from_catalog(spark: SparkSession, names: Iterable[str] | None = None, database: str | None = None,
+                 namespaces: Mapping[str, str] | None = None) -> Tables:
+    """Tables registered in the session catalog (``webscraping.x`` as its own
+    database, or in the one that ``namespaces`` gives for ``webscraping``)."""
+    names = list(names or SCHEMAS)
+    return Tables(lambda name: spark.table(_qualified(name, database, namespaces or {})), names)
+
+
+def month_of(column: str) -> str:
+    """Partition column of a table that ``publish`` has partitioned by ``column``."""
+    return f"{column}_month"
+
+
+def publish(frames: Mapping[str, DataFrame], root: str, database: str, namespaces: Mapping[str, str] | None = None,
+            months: Mapping[str, str] | None = None) -> None:
+    """Write ``frames`` below ``root`` and register them in the session catalog,
+    under the names by which ``from_catalog`` with the same ``database`` and
+    ``namespaces`` resolves them. Existing tables of these names are replaced.
+
+    ``months`` maps a table to a date or time column: the table is partitioned by
+    that column's month (``month_of``; rows without a time have a partition of
+    their own). A month with very many rows is written by several tasks."""
+    for name, df in frames.items():
+        spark, full = df.sparkSession, _qualified(name, database, namespaces or {})
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {full.split('.')[0]}")
+        writer = df.write
+        if name in (months or {}):
+            month = month_of(months[name])
+            writer = df.withColumn(month, F.trunc(months[name], "month")).hint("rebalance", month).write.partitionBy(month)
+        writer.mode("overwrite").option("path", f"{root}/{full.replace('`', '').replace('.', '/')}").saveAsTable(full)
+
+
+def within(column: str, first: str, beyond: str) -> Column:
+    """``first <= column < beyond`` for a table partitioned by the month of
+    ``column``: the same range of months goes with it, so that the scan lists and
+    reads only those partitions."""
+    low, high = F.lit(first).cast("timestamp_ntz"), F.lit(beyond).cast("timestamp_ntz")
+    month = F.col(month_of(column))
+    return ((F.col(column) >= low) & (F.col(column) < high)
+            & (month >= F.trunc(F.lit(first).cast("date"), "month")) & (month <= F.lit(beyond).cast("date")))
 
 
 def from_frames(frames: Mapping[str, DataFrame]) -> Tables:

@@ -386,6 +386,43 @@ def test_applications_filters_gender_and_latest_promo(spark):
     assert (a1["Aplicaciones Aprobadas"], a4["Aplicaciones Aprobadas"], a4["Roomies"]) == (1, 0, 0)
 
 
+def test_applications_keep_one_row_of_a_repeated_pair(spark):
+    t = make_tables(spark, {
+        "mongo_home_applications": [dict(_id="A1", id="a1", home_id="H1", agency_id="G1", _step="x"),
+                                    dict(_id="A1", id="a1", home_id="H1", agency_id="G1", _step="x"),
+                                    dict(_id="A1", id="a1", home_id="H1", agency_id="G2", _step="x"),
+                                    dict(_id="A1", id="a1", home_id="H1", agency_id=None, _step="x"),
+                                    dict(_id="A1", id="a2", home_id="H2", agency_id=None, _step="y")],
+        "mongo_promotion_codes": [dict(_id="P1", code="c1", agency_id="G1", created_at=ts("2021-01-01 00:00:00"))]})
+    out = rows(report("applications", t, AS_OF))
+    assert sorted((r["Id de Aplicacion"], r["Promocode"] or "") for r in out) == [("A1", ""), ("A1", ""), ("A1", "c1")]
+
+
+@pytest.mark.parametrize("name", ["homes", "rents", "applications"])
+def test_hot_rows_do_not_change_results(spark, name):
+    """Two thirds of the foreign keys are NULL or one value."""
+    fk = lambda i: None if i % 3 == 0 else "X" if i % 3 == 1 else f"k{i}"
+    keys = ["X", *[f"k{i}" for i in range(30)]]
+    t = make_tables(spark, {
+        "mongo_homes": [dict(_id=f"H{i}", id=f"h{i}", owner_id=fk(i), advisor_id=fk(i + 1), _status="published") for i in range(30)]
+        + [dict(_id=k, id=k, owner_id=k) for k in keys],
+        "mongo_rents": [dict(_id=f"R{i}", home_id=fk(i), user_id=fk(i + 1), guarantee_deposit_scheme_id=fk(i + 2),
+                             rent_third_party_company_fee_id=fk(i), created_at=ts("2021-01-01 00:00:00")) for i in range(30)],
+        "mongo_home_applications": [dict(_id=f"A{i}", id=f"a{i}", home_id=fk(i), user_id=fk(i + 1), agency_id=fk(i + 2),
+                                         guarantee_deposit_scheme_id=fk(i), _step="x") for i in range(30)],
+        "mongo_users": [dict(_id=k, id=k, name=k, email=f"{k}@x") for k in keys],
+        "mongo_owners": [dict(_id=k, user_id=k) for k in keys],
+        "mongo_home_advisors": [dict(_id=k, user_id=k, home_advisor_fee_id=k) for k in keys],
+        "mongo_guarantee_deposit_schemes": [dict(_id=k, name=k, days=3) for k in keys],
+        "mongo_rent_third_party_company_fees": [dict(_id=k, fee_third_party_company_id=k) for k in keys],
+        "mongo_agency_business_partners": [dict(_id=k, name=k) for k in keys],
+        "mongo_promotion_codes": [dict(_id=k, code=f"c{k}", agency_id=k) for k in keys],
+    })
+    key = lambda r: repr(sorted(r.items()))
+    plain, spread = rows(report(name, t, AS_OF)), rows(report(name, t, AS_OF, hot_rows=5))
+    assert len(plain) > 20 and sorted(map(key, plain)) == sorted(map(key, spread))
+
+
 def test_bucket_unit_does_not_change_results(spark):
     def log(i, status, when):
         return dict(id=f"L{i}", home_id="H1", status=status, created_at=ts(when), updated_at=ts(when))
