@@ -2,10 +2,13 @@
 Hamming blocks, and an exact weighted similarity. DataFrame operations only.
 
 Texts are words of letters and digits in lower case; shingles are ``shingle``
-words, of a shorter item all its words. A window as long as an item can only
-be like it where both share a shingle, and most where it starts at the start
-of such a run, so only those windows are fingerprinted, each once per text.
-Fingerprints of windows and items are cut into ``blocks`` blocks; within
+words, of a shorter item all its words. Windows are as long as an item. A
+window that does not start with a shingle of an item is never more like it than
+the next window, which drops that shingle and takes one more, so only windows
+that start with an item's shingle, and the last one of a text, are looked at;
+and only those that hold enough shingles of items to reach the similarity (8 of
+9 for 0.8), counted in the sorted places of such shingles. They are
+fingerprinted, each once per text. Fingerprints of windows and items are cut into ``blocks`` blocks; within
 ``radius`` bits one block differs in ``radius // blocks`` bits at most, so
 items are entered under every such variant of each block and equal blocks find
 all pairs within the radius. Each pair found is verified by the weighted Jaccard
@@ -18,7 +21,7 @@ of its words: item ids may be null or repeated, and are joined on at the end.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablero.llm._common import Scratch, fresh, text_key
@@ -67,6 +70,36 @@ def _item_key(w: Column) -> Column:
     return text_key(F.array_join(w, " "))
 
 
+def _windows(texts: DataFrame, item: DataFrame, lengths: list[int], similarity: float) -> DataFrame:
+    """(tk, n, start) of the windows that may reach ``similarity`` with an item
+    of ``n`` words; of any item's best windows at least one is among them.
+
+    ``texts`` (tk, w) are split and hashed once for all shingle lengths."""
+    if not lengths:
+        return texts.select("tk", F.lit(0).alias("n"), F.lit(0).alias("start")).limit(0)
+    known = item.select("k", "n", F.explode(F.concat(*(F.when(F.col("k") == k, _hashes(F.col("w"), k)).otherwise(F.array().cast("array<bigint>"))
+                                                       for k in lengths))).alias("h"))
+    known = known.groupBy("k", "h").agg(F.collect_set("n").alias("ns"))  # at most the items' different lengths
+    if known.count() <= MOST_BROADCAST:
+        known = F.broadcast(known)
+
+    def placed(k: int) -> Column:
+        return F.transform(_hashes(F.col("w"), k), lambda h, i: F.struct(F.lit(k).alias("k"), i.alias("pos"), h.alias("h")))
+    places = F.concat(*map(placed, lengths))
+    hits = texts.select("tk", F.size("w").alias("total"), F.inline(places)).join(known, ["k", "h"])
+    hits = hits.select("tk", "total", "k", F.explode("ns").alias("n"), "pos")
+    # places of shingles that items of n words have: no more than the text has words
+    held = hits.groupBy("tk", "n", "k").agg(F.first("total").alias("total"), F.array_sort(F.collect_set("pos")).alias("at"))
+    last, size = F.col("total") - F.col("n"), F.size("at")
+    theirs, ours = F.col("n") - F.col("k") + 1, F.least("n", "total") - F.col("k") + 1
+    held = held.withColumn("least", F.ceil(F.lit(similarity / (1 + similarity)) * (theirs + ours) - 1e-9).cast("int"))
+    held = held.withColumns({"last": last, "span": theirs - 1}).filter(size >= F.col("least"))
+    inside = F.filter("at", lambda p, i: (p <= F.col("last")) & (F.get("at", i + F.col("least") - 1) <= p + F.col("span")))
+    at_end = F.when(F.get("at", size - F.col("least")) >= F.col("last"), F.array("last")).otherwise(F.array().cast("array<int>"))
+    starts = F.when(F.col("last") < 0, F.array(F.lit(0))).otherwise(F.array_union(inside, at_end))
+    return held.select("tk", "n", F.explode(starts).alias("start"))
+
+
 def _alike(docs: DataFrame, items: DataFrame, text: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 19,
            blocks: int = 4) -> DataFrame:
     """One row for each text key of ``docs`` and item key alike: ``tk``, ``item``,
@@ -80,20 +113,8 @@ def _alike(docs: DataFrame, items: DataFrame, text: str = "text", shingle: int =
     raw = docs.select(text_key(F.col(text)).alias("tk"), F.col(text).alias("raw"))
     texts = raw.select("tk", words(F.col("raw")).alias("w"))
 
-    hits = None
-    for k in lengths:
-        known = item.filter(F.col("k") == k).select("n", F.posexplode(_hashes(F.col("w"), k)).alias("at", "h")).distinct()
-        if known.count() <= MOST_BROADCAST:
-            known = F.broadcast(known)
-        places = texts.select("tk", F.size("w").alias("total"), F.posexplode(_hashes(F.col("w"), k)).alias("pos", "h"))
-        found = places.join(known, "h").select("tk", "total", "n", (F.col("pos") - F.col("at")).alias("diagonal"), "pos")
-        hits = found if hits is None else hits.unionByName(found)
-    if hits is None:
-        hits = texts.select("tk", F.lit(0).alias("total"), F.lit(0).alias("n"), F.lit(0).alias("diagonal"), F.lit(0).alias("pos")).limit(0)
-    before = F.lag("pos").over(Window.partitionBy("tk", "n", "diagonal").orderBy("pos"))
-    runs = hits.distinct().withColumn("before", before).filter("before is null or before < pos - 1")
-    wins = runs.select("tk", "n", F.greatest(F.lit(0), F.least(F.col("pos"), F.col("total") - F.col("n"))).alias("start")).distinct()
-    wins = scratch.cut(wins.groupBy("tk").agg(F.collect_list(F.struct("n", "start")).alias("wins")), "windows")  # within a text's length
+    wins = scratch.cut(_windows(texts, item, lengths, similarity).groupBy("tk").agg(
+        F.collect_list(F.struct("n", "start")).alias("wins")), "windows")  # within a text's length
 
     cut = raw.join(wins, "tk").select("tk", words(F.col("raw")).alias("w"), F.explode("wins").alias("win"))
     cut = cut.select("tk", "win.n", "win.start", F.slice("w", F.col("win.start") + 1, F.col("win.n")).alias("w"))
@@ -108,7 +129,9 @@ def _alike(docs: DataFrame, items: DataFrame, text: str = "text", shingle: int =
     of_items = _fingerprints(theirs, ["item", "n"])
     mine, width = _blocks(F.col("fp"), blocks)
     near = F.filter(F.sequence(F.lit(0), F.lit((1 << width) - 1)), lambda x: F.bit_count(x) <= radius // blocks)
-    entered = of_items.select("item", "n", F.col("fp").alias("item_fp"), F.explode(mine).alias("b"))
+    # thousands of variants for each item: shared out before they are made
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    entered = of_items.repartition(many, "item").select("item", "n", F.col("fp").alias("item_fp"), F.explode(mine).alias("b"))
     entered = entered.select("item", "n", "item_fp", "b.place", "b.value", F.explode(near).alias("flip"))
     entered = entered.select("item", "n", "item_fp", "place", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
     probes = prints.select(*key, "fp", F.explode(mine).alias("b")).select(*key, "fp", "b.place", "b.value")

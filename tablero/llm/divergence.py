@@ -27,9 +27,13 @@ from tablero.llm._common import Scratch, lower_ascii
 LARGEST = 2**31 - 1
 
 
-def terms(text: Column) -> Column:
-    """Runs of ASCII letters and of characters beyond ASCII; A-Z in lower case."""
-    return F.filter(F.split(lower_ascii(text), r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"), lambda t: t != "")
+def marked_terms(text: Column, lang: Column) -> Column:
+    """A text as its terms (runs of ASCII letters and of characters beyond ASCII,
+    A-Z in lower case), one space apart, each behind a mark of its language: the
+    hex digits of the language and a colon. Where the text starts or ends with
+    something else, a mark without a term stands there."""
+    mark = F.concat(F.hex(F.encode(lang, "UTF-8")), F.lit(":"))
+    return F.concat(mark, F.regexp_replace(lower_ascii(text), F.lit(r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"), F.concat(F.lit(" "), mark)))
 
 
 def _share(count: str, total: str, kept: str, scale: int, prior: int) -> Column:
@@ -41,20 +45,21 @@ def counts(docs: DataFrame, scratch: Scratch, text: str, lang: str, source: str,
     (at, lang, term) of the vocabulary, and (lang, source) of all groups."""
     spark = docs.sparkSession
     name = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in (lang, source)]
-    own = docs.select(name[0].alias("lang"), name[1].alias("source"), terms(F.col(f"`{text}`")).alias("t"))
-    groups = scratch.cut(docs.select(name[0].alias("lang"), name[1].alias("source")).distinct(), "groups")
-    # no term holds a space, so the last one parts the language from the term
-    qualified = own.select("lang", "source", F.transform("t", lambda t: F.concat("lang", F.lit(" "), t)).alias("t"))
+    own = docs.select(name[0].alias("lang"), name[1].alias("source"), marked_terms(F.col(f"`{text}`"), name[0]).alias("marked"))
+    own = scratch.cut(own, "marked")  # read by the fit and by the counts
+    groups = scratch.cut(own.select("lang", "source").distinct(), "groups")
+    tokens = own.select("lang", "source", F.split("marked", " ").alias("t"))
     # without this entry, a corpus without any kept term could not be fitted
-    marks = spark.range(min_docs).select(F.array(F.lit("")).alias("t"))
-    model = CountVectorizer(inputCol="t", outputCol="v", minDF=float(min_docs), vocabSize=LARGEST).fit(qualified.select("t").unionByName(marks))
-    kept = spark.createDataFrame([(k, q) for k, q in enumerate(model.vocabulary) if q], "at int, q string")
-    term = F.substring_index("q", " ", -1)
-    kept = kept.select("at", F.expr("left(q, length(q) - length(substring_index(q, ' ', -1)) - 1)").alias("lang"), term.alias("term"))
-    vectors = model.transform(qualified).select("lang", "source", F.unwrap_udt("v").alias("v"))
+    entry = spark.range(min_docs).select(F.array(F.lit("")).alias("t"))
+    model = CountVectorizer(inputCol="t", outputCol="v", minDF=float(min_docs), vocabSize=LARGEST).fit(tokens.select("t").unionByName(entry))
+    kept = spark.createDataFrame([(k, q) for k, q in enumerate(model.vocabulary) if q and not q.endswith(":")], "at int, q string")
+    kept = kept.select("at", F.decode(F.unhex(F.substring_index("q", ":", 1)), "UTF-8").alias("lang"), F.substring_index("q", ":", -1).alias("term"))
+    vectors = model.transform(tokens).select("lang", "source", F.unwrap_udt("v").alias("v"))
     entries = vectors.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
     sums = entries.groupBy("lang", "source", F.col("e.indices").alias("at")).agg(F.sum(F.col("e.values").cast("long")).alias("count"))
-    return scratch.cut(sums, "sums"), scratch.cut(kept, "vocabulary"), groups
+    kept = scratch.cut(kept, "vocabulary")
+    sums = sums.join(kept.select("at"), "at", "left_semi").select("lang", "source", "at", "count")  # not the marks without a term
+    return scratch.cut(sums, "sums"), kept, groups
 
 
 def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", min_docs: int = 30, top: int = 50,

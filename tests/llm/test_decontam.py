@@ -4,7 +4,10 @@ import random
 import re
 from collections import Counter
 
-from tablero.llm.decontam import leaks, without_leaks
+from pyspark.sql import functions as F
+
+from tablero.llm.decontam import _windows, leaks, without_leaks
+from tablero.llm.decontam import words as word_list
 from tablero.llm.queries import op5_hamming_decontamination
 
 SCHEMA = "doc_id long, text string, tk string, n int"
@@ -71,6 +74,51 @@ def test_fixture(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def test_best_window_starts_inside_a_run(spark):
+    """Repeated words: the best window starts at neither the first nor the last of a run of shared shingles."""
+    item = "one zero zero zero one zero one zero zero one zero zero zero zero"
+    text = "zero one zero one zero zero zero one zero one zero zero one zero zero one zero zero two zero two two two two"
+    df = spark.createDataFrame([(1, text, "c", 0), (2, "x " + item + " y", "c", 0)], SCHEMA)
+    got = {(r.doc_id, r.item_id): round(r.similarity, 6) for r in leaks(df, spark.createDataFrame([(0, item)], "item_id long, text string")).collect()}
+    assert got == brute([(1, text), (2, item)], [(0, item)]) and set(got) == {(1, 0), (2, 0)}
+
+
+def test_windows_lose_no_item(spark):
+    """Small vocabularies: of every item that a text reaches, one of the best windows is among those looked at."""
+    rng = random.Random(21)
+    items, texts = [], []
+    for _ in range(60):
+        vocabulary = "zero one two three four five".split()[: rng.randrange(2, 6)]
+        item = [rng.choice(vocabulary) for _ in range(rng.randrange(3, 22))]
+        items.append(item)
+        for _ in range(6):
+            w = list(item)
+            for _ in range(rng.randrange(0, 3)):
+                w[rng.randrange(len(w))] = rng.choice(vocabulary)
+            pad = [[rng.choice(vocabulary) for _ in range(rng.randrange(0, 9))] for _ in range(2)]
+            texts.append(pad[0] + w[rng.randrange(0, 2):len(w) - rng.randrange(0, 2)] + pad[1])
+    docs = spark.createDataFrame([(str(i), " ".join(w)) for i, w in enumerate(texts)], "tk string, t string").select("tk", word_list(F.col("t")).alias("w"))
+    of = spark.createDataFrame([(w, len(w), min(5, len(w))) for w in items], "w array<string>, n int, k int")
+    starts = {}
+    for r in _windows(docs, of, [3, 4, 5], 0.8).collect():
+        starts.setdefault((int(r.tk), r.n), set()).add(r.start)
+    reached = 0
+    for i, w in enumerate(texts):
+        for item in items:
+            n, k = len(item), min(5, len(item))
+            theirs = counts(item, k)
+
+            def like(a):
+                own = counts(w[a:a + n], k)
+                both = sum((own & theirs).values())
+                return both / (own.total() + theirs.total() - both)
+            best = max(like(a) for a in range(max(1, len(w) - n + 1)))
+            if best >= 0.8 and len(w) >= k:
+                reached += 1
+                assert best == max(map(like, starts.get((i, n), {-1}))), (w, item)
+    assert reached > 300
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", "c", 1)], SCHEMA)
     bench = spark.createDataFrame([], "item_id long, text string")
