@@ -75,6 +75,13 @@ def fresh(taken, name: str) -> str:
     return name
 
 
+def others(columns, *names: str) -> list[F.Column]:
+    """Columns by their exact names, dots included, but those called like one of
+    ``names`` in any case."""
+    gone = {n.lower() for n in names}
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns if c.lower() not in gone]
+
+
 def texts_of(col: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each value; null as empty."""
     if pa.types.is_string_view(col.type):

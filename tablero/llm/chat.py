@@ -3,8 +3,10 @@
 Paths from each leaf to its root come from self-joins with doubled strides:
 after step k a leaf holds its first ``2**k`` ancestors, and the table of
 ``2**k``-fold parents, joined with itself, gives the next. Branches are ranked
-by score within their conversation, and each chosen path is written as one
-string with a loss mask.
+by score within their conversation: where only the best are asked for, the
+scores are summed by the same doubling first, one row for each node and round,
+and only the chosen leaves are walked. Each chosen path is written as one string
+with a loss mask.
 
 The template: ``<s>[INST]role\\ntext[/INST]`` for a turn, ``<s>text</s>`` for
 one of the assistant, whose text alone is under the mask. A control string
@@ -51,28 +53,61 @@ def _read_role(role: Column) -> Column:
     return F.array_join(parts, "\\")
 
 
-def paths(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+def _parents(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
+    """(conv, node, parent) of the rows whose parent is there, written, and the
+    number of nodes of the largest conversation."""
+    known = nodes.select("conv", F.col("node").alias("parent"))
+    up = nodes.select("conv", "node", "parent").join(known, ["conv", "parent"], "left_semi").select("conv", "node", "parent")
+    return scratch.cut(up, "up0"), nodes.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
+
+
+def _leaves(nodes: DataFrame, up: DataFrame) -> DataFrame:
+    return nodes.select("conv", "node").join(up.select("conv", F.col("parent").alias("node")), ["conv", "node"], "left_anti")
+
+
+def _doubled(jump: DataFrame, scratch: Scratch, stride: int) -> DataFrame:
+    """Parents ``2 * stride`` up from those ``stride`` up."""
+    far = jump.select("conv", F.col("node").alias("parent"), F.col("parent").alias("far"))
+    return scratch.cut(jump.join(far, ["conv", "parent"]).select("conv", "node", F.col("far").alias("parent")), f"up{stride * 2}")
+
+
+def paths(nodes: DataFrame, scratch: Scratch, leaves: DataFrame | None = None) -> DataFrame:
     """(conv, leaf, node, back) of every root-to-leaf path, ``back`` steps from
-    the leaf, from rows (conv, node, parent); conv must not be null."""
+    the leaf, from rows (conv, node, parent); conv must not be null. With
+    ``leaves`` (conv, node) only their paths."""
     ids = nodes.select("conv", "node")
-    known = ids.withColumnRenamed("node", "parent")
-    up = nodes.select("conv", "node", "parent").join(known, ["conv", "parent"], "left_semi").select("conv", "node", "parent")
-    up = scratch.cut(up, "up0")
-    leaves = ids.join(up.select("conv", F.col("parent").alias("node")), ["conv", "node"], "left_anti")
+    up, longest = _parents(nodes, scratch)
+    leaves = _leaves(nodes, up) if leaves is None else leaves
     out = leaves.select("conv", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("back"))
-    longest = nodes.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
     stride, jump = 1, up
     while stride < longest and not jump.isEmpty():
         more = out.join(jump, ["conv", "node"]).select("conv", "leaf", F.col("parent").alias("node"), (F.col("back") + stride).alias("back"))
         out = scratch.cut(out.unionByName(more), f"paths{stride}")
-        far = jump.select("conv", F.col("node").alias("parent"), F.col("parent").alias("far"))
-        jump = scratch.cut(jump.join(far, ["conv", "parent"]).select("conv", "node", F.col("far").alias("parent")), f"up{stride * 2}")
+        jump = _doubled(jump, scratch, stride)
         stride *= 2
     roots = ids.join(up.select("conv", "node"), ["conv", "node"], "left_anti")
     whole = out.join(roots, ["conv", "node"], "left_semi").select("conv", "leaf")  # others end in a cycle
     return out.join(whole, ["conv", "leaf"], "left_semi")
 
 
+def branch_scores(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(conv, leaf, score) of every branch that has a root, without its rows:
+    after round k a node holds the sum of the scores of itself and its next
+    ``2**k - 1`` ancestors and a pointer to the one above, so that n nodes write
+    n rows a round. Rows on or below a cycle keep a pointer and fall out."""
+    up, longest = _parents(nodes, scratch)
+    now = nodes.select("conv", "node", "score").join(up, ["conv", "node"], "left")
+    now, stride = scratch.cut(now, "sums1"), 1
+    while stride < longest and not now.filter("parent is not null").isEmpty():
+        above = now.select("conv", F.col("node").alias("parent"), F.col("score").alias("more"), F.col("parent").alias("next"))
+        done = now.filter("parent is null")
+        step = now.join(above, ["conv", "parent"]).select("conv", "node", (F.col("score") + F.col("more")).alias("score"), F.col("next").alias("parent"))
+        stride *= 2
+        now = scratch.cut(done.unionByName(step), f"sums{stride}")
+    ends = now.filter("parent is null").select("conv", "node", "score")
+    return ends.join(_leaves(nodes, up), ["conv", "node"], "left_semi").select("conv", F.col("node").alias("leaf"), "score")
+
+
 def written(turns: Column) -> Column:
     """The string of an array of turns (role, text)."""
     return F.array_join(F.transform(turns, _written), "")
@@ -130,11 +165,16 @@ def format_trees(rows: DataFrame, conv: str = "conv_id", node: str = "node", par
                                    F.struct(own.alias("own"), id_.alias("id")).alias("node"),
                                    F.when(F.col(parent).isNotNull(), F.struct(F.lit("").alias("own"), above.alias("id"))).alias("parent"), value.alias("score"),
                                    F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")), "nodes")
-    found = paths(kept.select("conv", "node", "parent"), scratch)
-    branch = found.join(kept.select("conv", "node", "score"), ["conv", "node"]).groupBy("conv", "leaf").agg(F.sum("score").alias("score"))
+    nodes = kept.select("conv", "node", "parent", "score")
     rank = F.row_number().over(Window.partitionBy("conv").orderBy(F.col("score").desc(), "leaf"))
-    branch = branch.select("conv", "leaf", rank.alias("rank"))
-    chosen = branch.filter(F.col("rank") <= top) if top else branch
+    if top is None:  # every path is written, so its rows give its score
+        found = paths(nodes, scratch)
+        branch = found.join(kept.select("conv", "node", "score"), ["conv", "node"]).groupBy("conv", "leaf").agg(F.sum("score").alias("score"))
+        chosen = branch.select("conv", "leaf", rank.alias("rank"))
+    else:  # ranked first, so that only the chosen branches are walked
+        ranked = branch_scores(nodes, Scratch(rows.sparkSession, "chat-scores")).select("conv", "leaf", rank.alias("rank"))
+        chosen = scratch.cut(ranked.filter(F.col("rank") <= top), "chosen")
+        found = paths(nodes, scratch, chosen.select("conv", F.col("leaf").alias("node")))
     turns = (found.join(chosen, ["conv", "leaf"]).join(kept.select("conv", "node", "role", "text"), ["conv", "node"])
              .groupBy("conv", "leaf", "rank").agg(F.array_sort(F.collect_list(F.struct((-F.col("back")).alias("at"), "role", "text"))).alias("turns")))
     leaf = F.col("leaf.id").cast(rows.select(F.col(node)).schema[0].dataType).alias("leaf")

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablero.llm._common import WORD, fresh
+from tablero.llm._common import WORD, fresh, others
 
 
 def n_words(text) -> Column:
@@ -50,9 +50,10 @@ def mix(rows: DataFrame, doc_id: str = "doc_id", source: str = "source", size: s
     ``taken``: how much of the row's ``size`` the mix takes, repeats counted.
 
     Rows of equal id (null included) are ordered by size; rows equal in both
-    have one order up to their exchange. A row of size 0 takes nothing.
+    have one order up to their exchange. A row of size 0 takes nothing. Columns
+    called like the three, in any case, are replaced; others travel along.
     """
-    own = [c for c in rows.columns if c not in ("source_size", "target", "taken")]
+    own = others(rows.columns, "source_size", "target", "taken")
     name = {c: fresh(rows.columns, c) for c in ("key", "bucket", "is_null", "named", "offset", "before", "total", "goal")}
     key, bucket, is_null, named = (F.col(name[c]) for c in ("key", "bucket", "is_null", "named"))
     keyed = rows.withColumns({

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablero.llm._common import Scratch, fresh, slices, text_key, texts_of
+from tablero.llm._common import Scratch, fresh, others, slices, text_key, texts_of
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -364,7 +364,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 400, ancho
     def indexed(p: DataFrame) -> DataFrame:
         return p.repartition("g").sortWithinPartitions("g", "cx").mapInArrow(_index_blocks(length, block), MARKS)
 
-    marks = [shared.join(contexts.filter("a < b").select("g", "cx"), ["g", "cx"]).select("tk", "lo", "hi"),
+    # written, so that a small table is broadcast before the rows of a frequent context are shuffled to one task, a large one split
+    twice = scratch.cut(contexts.filter("a < b").select("g", "cx"), "twice")
+    marks = [shared.join(twice, ["g", "cx"]).select("tk", "lo", "hi"),
              indexed(pieces.filter(F.col("n") <= group))]
     w = length - k + 1
     hot, level, width = pieces.filter(F.col("n") > group), 0, w
@@ -375,7 +377,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 400, ancho
             same = halves.groupBy("g", "cx").agg(F.min(place).alias("a"), F.max(place).alias("b"),
                                                  F.min_by(F.struct("tk", "at", "lo", "hi", "piece"), place).alias("at"))
             same = scratch.cut(same, f"same{level}")
-            marks.append(halves.join(same.filter("a < b").select("g", "cx"), ["g", "cx"]).select("tk", "lo", "hi"))
+            twice = scratch.cut(same.filter("a < b").select("g", "cx"), f"twice{level}")
+            marks.append(halves.join(twice, ["g", "cx"]).select("tk", "lo", "hi"))
             count = same.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
             rest = scratch.cut(same.join(count, "g").select("g", "cx", "at.tk", "at.at", "at.lo", "at.hi", "n", "at.piece"), f"rest{level}")
             marks.append(indexed(rest.filter(F.col("n") <= group)))
@@ -399,13 +402,14 @@ def removed_bytes(spans: Column) -> Column:
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, **how) -> DataFrame:
     """``docs`` with the columns ``n_bytes``, ``n_removed``, ``spans`` and ``kept``
-    (binary: a cut may fall inside a character) in place of the text."""
+    (binary: a cut may fall inside a character) in place of the text. Columns of
+    these names, in any case, are replaced; others travel along."""
     key = fresh(docs.columns, "tk")
     found = repeated_spans(docs, text, length, **how).select(F.col("tk").alias(key), F.struct("spans", "kept").alias(fresh(docs.columns, "cut")))
     cut = found.columns[1]
     value = F.coalesce(F.col(text), F.lit(""))
     out = docs.withColumn(key, text_key(F.col(text))).join(found, key, "left")
     spans = F.coalesce(F.col(f"{cut}.spans"), F.array().cast("array<struct<start:int,end:int>>"))
-    own = [c for c in docs.columns if c not in (text, "n_bytes", "n_removed", "spans", "kept")]
+    own = others(docs.columns, text, "n_bytes", "n_removed", "spans", "kept")
     return out.select(*own, F.octet_length(value).cast("long").alias("n_bytes"), removed_bytes(spans).alias("n_removed"),
                       spans.alias("spans"), F.coalesce(F.col(f"{cut}.kept"), F.encode(value, "utf-8")).alias("kept"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tablero.llm._common import Scratch, fresh, text_key
+from tablero.llm._common import Scratch, fresh, others, text_key
 from tablero.llm.connected import components
 
 
@@ -240,4 +240,4 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     kept = chosen(picks.filter("n = 1"))
     if not picks.filter("n > 1").isEmpty():
         kept = kept.unionByName(chosen(picks.filter("n > 1")).dropDuplicates([doc_id, key]))
-    return kept.select(*docs.columns)
+    return kept.select(*others(docs.columns))

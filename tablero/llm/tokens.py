@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablero.llm._common import Scratch, fresh, local_env, slices, text_key, texts_of
+from tablero.llm._common import Scratch, fresh, local_env, others, slices, text_key, texts_of
 
 CACHE = "tokenizer string, content binary, n_tokens long"
 
@@ -110,7 +110,8 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, cache: str, text: str =
     ``vocabulary_path``: a .json of ``tokenizers`` or a .model of
     ``sentencepiece`` on the driver; its bytes, some MB, travel as a broadcast.
     ``cache``: a folder that driver and executors share; new counts are
-    appended to it before the result is returned.
+    appended to it before the result is returned. Columns called ``n_bytes`` or
+    ``n_tokens``, in any case, are replaced; others travel along.
     """
     spark = docs.sparkSession
     library = "sentencepiece" if vocabulary_path.endswith(".model") else "tokenizers"
@@ -126,7 +127,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, cache: str, text: str =
     # written once more, so that the join below may split the rows of a frequent text
     counts = Scratch(spark, "tokens").cut(_stored(spark, cache, tokenizer), "counts")
     n = fresh([*docs.columns, key], "n")
-    own = [c for c in docs.columns if c not in (text, "n_bytes", "n_tokens")]
+    own = others(docs.columns, text, "n_bytes", "n_tokens")
     rows = docs.select(*own, F.octet_length(value).cast("long").alias("n_bytes"), text_key(F.col(text)).alias(key))
     return rows.join(counts.select(F.col("content").alias(key), F.col("n_tokens").alias(n)), key, "left").select(
         *own, "n_bytes", F.col(n).alias("n_tokens"))

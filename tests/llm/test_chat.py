@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tablero.llm._common import Scratch
 from tablero.llm.chat import format_trees, masked_text, read_turns
 
 SCHEMA = "conv_id long, node long, parent long, role string, text string, score double, leaf string"
@@ -61,6 +62,23 @@ def test_paths_ranks_and_round_trip(spark, top):
     assert 50 in seen and want[50].keys() == {9}
 
 
+def test_only_chosen_branches_are_walked(spark, monkeypatch):
+    """A comb: a spine of 1,000 nodes with a tooth each. All paths are half a
+    million rows; the best one takes n rows a round."""
+    n, written = 1000, []
+    rows = [(1, i, i - 1 if i else None, "user", "s", 1.0, "c") for i in range(n)] + [(1, n + i, i, "assistant", "t", 0.5, "c") for i in range(n)]
+    cut = Scratch.cut
+
+    def counted(self, df, name):
+        out = cut(self, df, name)
+        written.append(out.count())
+        return out
+    monkeypatch.setattr(Scratch, "cut", counted)
+    got = format_trees(spark.createDataFrame(rows, SCHEMA), score="score", top=1).withColumn("back", read_turns(F.col("formatted"))).collect()
+    assert [(r.leaf, len(r.back)) for r in got] == [(2 * n - 1, n + 1)]
+    assert max(written) <= 2 * n and sum(written) < 2 * n * 40
+
+
 def test_null_node_ids(spark):
     rows = [(c, n, p, "user", t, 1.0, "c") for c in (1, None) for n, p, t in [
         (0, None, "q"), (1, 0, "a"), (None, 1, "x"), (None, 1, "x"), (None, 1, "y"), (None, None, "alone"), (None, 77, "lost"), (2, 0, "b")]]
