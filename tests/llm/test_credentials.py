@@ -152,3 +152,24 @@ def test_query_against_brute_force(spark):
         assert [s for s in spans if not s.startswith("format:")] == joined
         added += len(spans) - len(joined)
     assert added <= 0.01 * len(texts)  # clean documents are left alone
+
+
+def test_formats_find_withheld_credentials_of_the_table(spark):
+    """Fitted on half of the documents as the query fits: of the credentials that
+    only the other half holds nine in ten are found as bare tokens, so are hex
+    runs too short for the patterns, and at most one ordinary token in a hundred."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    half = [docs.filter(F.col("doc_id") % 2 == k) for k in (0, 1)]
+    seen, held, ordinary = set(), set(), set()
+    for k, into in ((0, seen), (1, held)):
+        for r in half[k].collect():
+            base = credentials.base_spans(r.text or "")
+            into.update(v for _, _, _, v in base if len(v) >= credentials.MIN_TOKEN)
+            if k:
+                ordinary.update(r.text[a:b] for a, b in credentials.other_tokens(r.text or "", base))
+    formats = fit(half[0])
+    withheld, ordinary = sorted(held - seen), sorted(ordinary)[:20000]
+    rng = random.Random(29)
+    short = ["".join(rng.choice(HEX) for _ in range(n)) for n in (12, 13, 14, 15) for _ in range(100)]
+    found = {name: float(np.mean(formats.likely(tokens))) for name, tokens in (("withheld", withheld), ("short", short), ("ordinary", ordinary))}
+    assert len(withheld) > 50 and found["withheld"] >= 0.9 and found["short"] >= 0.9 and found["ordinary"] <= 0.01, found

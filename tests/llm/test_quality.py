@@ -53,3 +53,30 @@ def test_query_on_held_out_labels(spark):
     bad = [p for p, q in held if q == 0]
     print("held out", len(held), "kept of good", np.mean(good), "kept of bad", np.mean(bad))
     assert np.mean(good) > 0.97 and np.mean(bad) < 0.2
+
+
+def test_query_against_shrunk_covariances(spark):
+    """The query's scores from the definition: production shrinkage, plain inverses."""
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    labels = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").collect()]
+    x = {i: np.array(statistics(t)) for i, t in texts.items()}
+    own = [np.array([x[i] for i, q in labels if q == label and i in x and zlib.crc32(str(i).encode()) % 3 != 1]) for label in (0, 1)]
+    both = np.concatenate(own)
+    center, scale = both.mean(axis=0), np.sqrt(np.maximum(both.var(axis=0), 1e-12))
+    z = [(a - center) / scale for a in own]
+    covs = [np.cov(a.T, bias=True) for a in z]
+    pooled = sum(len(a) * c for a, c in zip(z, covs)) / len(both)
+
+    def log_density(v, a, cov):
+        cov = 0.9 * cov + 0.1 * pooled
+        cov = 0.99 * cov + 0.01 * np.trace(cov) / N_STATISTICS * np.eye(N_STATISTICS)
+        d = v - a.mean(axis=0)
+        return np.log(len(a) / len(both)) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * d @ np.linalg.inv(cov) @ d
+    rows = op3_quadratic_quality(spark, sf).collect()
+    assert len(rows) == len(texts) and min(map(len, own)) > 5
+    for r in rows:
+        v = (x[r.doc_id] - center) / scale
+        want = 1 / (1 + np.exp(np.clip(log_density(v, z[0], covs[0]) - log_density(v, z[1], covs[1]), -500, 500)))
+        assert abs(r.score - want) < 1e-6
+        assert (r.predicted, r.held_out) == (int(r.score >= 0.5), zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
