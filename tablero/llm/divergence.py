@@ -54,11 +54,12 @@ def counts(docs: DataFrame, scratch: Scratch, text: str, lang: str, source: str,
     model = CountVectorizer(inputCol="t", outputCol="v", minDF=float(min_docs), vocabSize=LARGEST).fit(tokens.select("t").unionByName(entry))
     kept = spark.createDataFrame([(k, q) for k, q in enumerate(model.vocabulary) if q and not q.endswith(":")], "at int, q string")
     kept = kept.select("at", F.decode(F.unhex(F.substring_index("q", ":", 1)), "UTF-8").alias("lang"), F.substring_index("q", ":", -1).alias("term"))
-    vectors = model.transform(tokens).select("lang", "source", F.unwrap_udt("v").alias("v"))
-    entries = vectors.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-    sums = entries.groupBy("lang", "source", F.col("e.indices").alias("at")).agg(F.sum(F.col("e.values").cast("long")).alias("count"))
+    # a term's place tells its language, so that the groups of the sums need the source only
+    vectors = model.transform(tokens).select("source", F.unwrap_udt("v").alias("v"))
+    entries = vectors.select("source", F.inline(F.arrays_zip(F.col("v.indices").alias("at"), F.col("v.values").alias("count"))))
+    sums = entries.groupBy("source", "at").agg(F.sum("count").cast("long").alias("count"))  # whole numbers, exact below 2**53
     kept = scratch.cut(kept, "vocabulary")
-    sums = sums.join(kept.select("at"), "at", "left_semi").select("lang", "source", "at", "count")  # not the marks without a term
+    sums = sums.join(kept.select("at", "lang"), "at").select("lang", "source", "at", "count")  # the marks without a term drop out
     return scratch.cut(sums, "sums"), kept, groups
 
 
