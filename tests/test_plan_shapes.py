@@ -55,3 +55,43 @@ def test_shared_parts_of_a_report_are_read_once(spark, name, table):
     frames = from_frames({**tables, table: spark.table("read_once")})
     plan = report(name, frames, "2024-01-01 00:00:00")._jdf.queryExecution().analyzed().toString()
     assert len(re.findall("SubqueryAlias read_once", plan)) == 1
+
+
+@pytest.mark.parametrize("name,most", [("report_rents", 7), ("report_active_rents", 5)])
+def test_rents_are_shuffled_once_for_each_of_their_keys(spark, name, most):
+    """What hangs on a home, a user, a fee or an application is joined there, not to the rents."""
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        plan = REGISTRY[name](spark, SF)._jdf.queryExecution().executedPlan()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+    def walk(node):
+        below = node.children()
+        own = node.nodeName() == "Exchange" and "hashpartitioning" in node.simpleString(100) and "rent_price#" in node.output().mkString(",")
+        return own + sum(walk(below.apply(i)) for i in range(below.size()))
+    assert walk(plan) <= most
+
+
+@pytest.mark.parametrize("name,frames", [
+    ("payments", {"mongo_rents": [dict(_id="R1")], "mongo_rental_months": [dict(_id=f"M{i}", rent_id="R1", _status="paid") for i in range(600)]}),
+    ("contracts", {"mongo_rents": [dict(_id=f"R{i}") for i in range(600)], "mongo_rent_contracts": [dict(_id=f"C{i}", rent_id=f"R{i}") for i in range(600)]})])
+def test_rows_without_a_date_or_a_parent_are_dealt_over_tasks(spark, name, frames):
+    from fixtures import make_tables
+    from pyspark.sql import functions as F
+    from tablero.plans.reports import report
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    kept = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        out = report(name, make_tables(spark, frames), "2024-01-01 00:00:00")
+        parts = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sum(parts) == 600 and max(parts) <= 300
