@@ -1,39 +1,63 @@
 """Source divergence audit: how far the term shares of each source of a
 language lie from those of its other sources and of the whole language.
 
-``CountVectorizer`` (minDF, the largest integer as vocabSize) makes an exact
-sparse count vector of every document. One fit serves all languages: terms
-carry their language, so a term's document frequency is that in its language.
-The entries of the vectors are summed by group (language, source), and only
-the sums above zero are rows from there on; what an absent term adds to a pair
-is known from the two groups alone.
+Each task adds up, per language, source and term, the occurrences and the
+documents of its texts; Spark sums those. A term is kept if enough documents of
+its language hold it. Only the sums above zero are rows from there on; what an
+absent term adds to a pair is known from the two groups alone.
 
 Shares are whole numbers: ``p = 1 + floor(scale * (count + prior) / (N + prior * V))``
 over the V kept terms of the language, N the group's count of them. All
 arithmetic is in longs, and in decimals where the product may pass 64 bits.
-
-The vocabulary travels through the driver, as ``CountVectorizer`` does it: one
-string for each term that ``min_docs`` documents of a language hold.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizer
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablero.llm._common import Scratch, lower_ascii
-
-LARGEST = 2**31 - 1
-
-
-def marked_terms(text: Column, lang: Column) -> Column:
-    """A text as its terms (runs of ASCII letters and of characters beyond ASCII,
-    A-Z in lower case), one space apart, each behind a mark of its language: the
-    hex digits of the language and a colon. Where the text starts or ends with
-    something else, a mark without a term stands there."""
-    mark = F.concat(F.hex(F.encode(lang, "UTF-8")), F.lit(":"))
-    return F.concat(mark, F.regexp_replace(lower_ascii(text), F.lit(r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"), F.concat(F.lit(" "), mark)))
+from tablero.llm._common import Scratch, slices, texts_of
+
+#: Bytes of a UTF-8 text as a term keeps them: A-Z in lower case, what ends a term as a space.
+LETTERS = bytes(k + 32 if 65 <= k <= 90 else k if 97 <= k <= 122 or k >= 128 else 32 for k in range(256))
+#: Terms that a task holds before it passes its sums on.
+HELD = 200_000
+#: One document, above any number of occurrences, so that one number holds both sums.
+ONE = 1 << 48
+
+
+def tally(batches: Iterator[pa.RecordBatch], held: int = HELD) -> Iterator[pa.RecordBatch]:
+    """Rows (lang, source, term, count, docs) from rows (lang, source, text): a
+    task's sums, in parts of about ``held`` terms."""
+    sums: dict[tuple, dict[bytes, int]] = {}
+
+    def told() -> Iterator[pa.RecordBatch]:
+        for (lang, source), own in sums.items():
+            n = len(own)
+            if n:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), pa.array(list(own), pa.binary()),
+                     pa.array([v % ONE for v in own.values()], pa.int64()), pa.array([v // ONE for v in own.values()], pa.int64())],
+                    ["lang", "source", "term", "count", "docs"])
+        sums.clear()
+
+    size = 0
+    for batch in batches:
+        for part in slices(batch, "text"):
+            for lang, source, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts_of(part.column(2))):
+                own = sums.setdefault((lang, source), {})
+                size -= len(own)
+                for term, n in Counter(text.translate(LETTERS).split()).items():
+                    own[term] = own.get(term, 0) + n + ONE
+                size += len(own)
+                if size > held:
+                    yield from told()
+                    size = 0
+    yield from told()
 
 
 def _share(count: str, total: str, kept: str, scale: int, prior: int) -> Column:
@@ -43,23 +67,15 @@ def _share(count: str, total: str, kept: str, scale: int, prior: int) -> Column:
 def counts(docs: DataFrame, scratch: Scratch, text: str, lang: str, source: str, min_docs: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lang, source, at, count) of each group's kept terms above zero,
     (at, lang, term) of the vocabulary, and (lang, source) of all groups."""
-    spark = docs.sparkSession
     name = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in (lang, source)]
-    own = docs.select(name[0].alias("lang"), name[1].alias("source"), marked_terms(F.col(f"`{text}`"), name[0]).alias("marked"))
-    own = scratch.cut(own, "marked")  # read by the fit and by the counts
+    own = docs.select(name[0].alias("lang"), name[1].alias("source"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     groups = scratch.cut(own.select("lang", "source").distinct(), "groups")
-    tokens = own.select("lang", "source", F.split("marked", " ").alias("t"))
-    # without this entry, a corpus without any kept term could not be fitted
-    entry = spark.range(min_docs).select(F.array(F.lit("")).alias("t"))
-    model = CountVectorizer(inputCol="t", outputCol="v", minDF=float(min_docs), vocabSize=LARGEST).fit(tokens.select("t").unionByName(entry))
-    kept = spark.createDataFrame([(k, q) for k, q in enumerate(model.vocabulary) if q and not q.endswith(":")], "at int, q string")
-    kept = kept.select("at", F.decode(F.unhex(F.substring_index("q", ":", 1)), "UTF-8").alias("lang"), F.substring_index("q", ":", -1).alias("term"))
-    # a term's place tells its language, so that the groups of the sums need the source only
-    vectors = model.transform(tokens).select("source", F.unwrap_udt("v").alias("v"))
-    entries = vectors.select("source", F.inline(F.arrays_zip(F.col("v.indices").alias("at"), F.col("v.values").alias("count"))))
-    sums = entries.groupBy("source", "at").agg(F.sum("count").cast("long").alias("count"))  # whole numbers, exact below 2**53
-    kept = scratch.cut(kept, "vocabulary")
-    sums = sums.join(kept.select("at", "lang"), "at").select("lang", "source", "at", "count")  # the marks without a term drop out
+    parts = own.mapInArrow(tally, "lang string, source string, term binary, count long, docs long")
+    sums = parts.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
+    sums = scratch.cut(sums, "tally")  # read by the vocabulary and by the counts
+    kept = sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs)
+    kept = scratch.cut(kept.select(F.monotonically_increasing_id().alias("at"), "lang", F.col("term").cast("string").alias("term")), "vocabulary")
+    sums = sums.withColumn("term", F.col("term").cast("string")).join(kept, ["lang", "term"]).select("lang", "source", "at", "count")
     return scratch.cut(sums, "sums"), kept, groups
 
 

@@ -76,3 +76,25 @@ def test_empty_tables_and_languages_without_terms(spark):
 def test_names_with_dots(spark):
     df = spark.createDataFrame([("a b", "en", "s"), ("a c", "en", "t")], "`the.text` string, `the.lang` string, source string")
     assert divergence(df, "the.text", "the.lang", min_docs=1).count() == 2 + 2
+
+
+def test_a_task_passes_its_sums_on_in_parts():
+    """No task holds, and no driver gets, the whole vocabulary."""
+    import pyarrow as pa
+
+    from tablero.llm.divergence import tally
+    docs = [(lang or "", source or "", text) for text, lang, source in fixture()]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*docs[k:k + 50])], ["lang", "source", "text"]) for k in range(0, len(docs), 50)]
+    parts = list(tally(iter(batches), held=40))
+    assert len(parts) > 20
+    count, held = Counter(), Counter()
+    for part in parts:
+        assert part.num_rows <= 40 + 31
+        for lang, source, term, n, d in zip(*[c.to_pylist() for c in part.columns]):
+            count[lang, source, term.decode()] += n
+            held[lang, source, term.decode()] += d
+    want, there = Counter(), Counter()
+    for lang, source, text in docs:
+        want.update((lang, source, w) for w in terms(text))
+        there.update((lang, source, w) for w in set(terms(text)))
+    assert (count, held) == (want, there)
