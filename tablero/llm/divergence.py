@@ -71,12 +71,11 @@ def counts(docs: DataFrame, scratch: Scratch, text: str, lang: str, source: str,
     own = docs.select(name[0].alias("lang"), name[1].alias("source"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     groups = scratch.cut(own.select("lang", "source").distinct(), "groups")
     parts = own.mapInArrow(tally, "lang string, source string, term binary, count long, docs long")
-    sums = parts.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
-    sums = scratch.cut(sums, "tally")  # read by the vocabulary and by the counts
-    kept = sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs)
-    kept = scratch.cut(kept.select(F.monotonically_increasing_id().alias("at"), "lang", F.col("term").cast("string").alias("term")), "vocabulary")
-    sums = sums.withColumn("term", F.col("term").cast("string")).join(kept, ["lang", "term"]).select("lang", "source", "at", "count")
-    return scratch.cut(sums, "sums"), kept, groups
+    # dealt by language and term, so that both groupings take one shuffle; a term's list has one entry for each source
+    sums = parts.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
+    kept = sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "count")).alias("sums")).filter(F.col("docs") >= min_docs)
+    kept = scratch.cut(kept.select(F.monotonically_increasing_id().alias("at"), "lang", F.col("term").cast("string").alias("term"), "sums"), "vocabulary")
+    return kept.select("lang", "at", F.inline("sums")).select("lang", "source", "at", "count"), kept.select("at", "lang", "term"), groups
 
 
 def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", min_docs: int = 30, top: int = 50,
