@@ -68,7 +68,7 @@ def rows(df):
 
 
 @pytest.mark.parametrize("numbered", [False, True])
-@pytest.mark.parametrize("name", ["payments"])
+@pytest.mark.parametrize("name", ["payments", "active_rents"])
 def test_parts_give_the_same_rows_and_leave_no_shuffles(spark, no_broadcast, tables, name, numbered):
     ordered = lambda: Numbered(Staging(spark, "ordered").root) if numbered else True
     whole = report(name, tables, AS_OF, ordered=ordered())
@@ -85,7 +85,7 @@ def test_parts_give_the_same_rows_and_leave_no_shuffles(spark, no_broadcast, tab
 
 def test_parts_are_sorted_once_and_joined_no_more(spark, no_broadcast, tables):
     """What is left of the plan is the final order."""
-    for name in ("payments",):
+    for name in ("payments", "active_rents"):
         plan = report(name, tables, AS_OF, staging=Staging(spark, "parts"))._jdf.queryExecution().executedPlan().toString()
         assert (len(re.findall("Exchange rangepartitioning", plan)), len(re.findall("Exchange|Join", plan))) == (1, 1)
 
